@@ -1,0 +1 @@
+"""Running the extraction on scripts as they arrive."""

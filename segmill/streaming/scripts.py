@@ -1,0 +1,21 @@
+"""Script files as a stream.
+
+Extraction is row-local and keeps no state, so ``plans.mining.extract`` runs on
+the stream unchanged; no watermark is needed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from segmill.functions.text import unix_newlines
+
+
+def stream_scripts(spark: SparkSession, path: str) -> DataFrame:
+    """``(script_id, text)`` of the files that appear under ``path``."""
+    files = spark.readStream.option("wholetext", True).text(path)
+    return files.select(
+        F.col("_metadata.file_path").alias("script_id"),
+        unix_newlines(F.col("value")).alias("text"),
+    )
