@@ -33,7 +33,7 @@ def t1_quoted_links(spark, sf):
     )
 
 
-_FRAGMENT = T.FRAGMENT_PATTERN.replace("'", "''")
+_FRAGMENT = T.FRAGMENT_PATTERN.replace("(?>", "(?:").replace("'", "''")
 _QUOTED = T.QUOTED_PATTERN.replace("'", "''")
 
 

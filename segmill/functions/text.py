@@ -12,8 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns, keywords and method names of the extraction jobs.
+# The atomic group keeps to the first "from": where no ")" follows it, none
+# follows a later one, and trying them all would take cubic time.
 FRAGMENT_PATTERN = (
-    r'(\.table\s*\(\s*".*?"\s*\)|\.sql\s*\(\s*".*?"\s*\)|select\s*\(.+?from\s*.+?\))'
+    r'(\.table\s*\(\s*".*?"\s*\)|\.sql\s*\(\s*".*?"\s*\)|select\s*\((?>.+?from)\s*.+?\))'
 )
 FRAGMENT_MARKS = (".table", ".sql")
 QUOTED_PATTERN = r"""["']([^\n]+?)["']"""
