@@ -92,16 +92,20 @@ def line_blocks(
     return F.filter(found, lambda b: F.rlike(b, F.lit(f"{closed}\\n?\\z")))
 
 
-def normalise_block(block: Column) -> Column:
-    """One line of query-like text from a line block."""
+def _squeeze(block: Column) -> Column:
+    """A block without query-builder syntax, on one line."""
     q = block
     for text in NORMALISE_DELETED:
         q = F.replace(q, F.lit(text), F.lit(""))
     q = F.replace(q, F.lit("=="), F.lit("="))
     q = F.regexp_replace(q, f"\\.[{SPACE}]*", "")
-    q = strip(F.regexp_replace(q, f"[{SPACE}]+", " "))
-    assigned = strip(F.substring_index(q, "=", -1))
-    return F.when(F.contains(q, F.lit("val ")), assigned).otherwise(q)
+    return strip(F.regexp_replace(q, f"[{SPACE}]+", " "))
+
+
+def _assigned(q: Column) -> Column:
+    """The right side of a value definition, other text as it is."""
+    right = strip(F.substring_index(q, "=", -1))
+    return F.when(F.contains(q, F.lit("val ")), right).otherwise(q)
 
 
 def normalised_blocks(
@@ -109,7 +113,10 @@ def normalised_blocks(
     keywords: Sequence[str] = BLOCK_KEYWORDS,
     endings: Sequence[str] = BLOCK_ENDINGS,
 ) -> Column:
-    return F.transform(line_blocks(x, keywords, endings), lambda b: normalise_block(b))
+    """Line blocks as single lines of query-like text."""
+    # Two passes, as a lambda would evaluate the squeezed text at each mention.
+    squeezed = F.transform(line_blocks(x, keywords, endings), lambda b: _squeeze(b))
+    return F.transform(squeezed, lambda q: _assigned(q))
 
 
 def scan_statements(x: Column) -> Column:

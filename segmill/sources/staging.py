@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +23,17 @@ def stage_root(spark: SparkSession, cfg: JobConfig) -> str:
     if root is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir (or stage_dir) to a shared folder")
-        root = tempfile.mkdtemp(prefix="segmill-stage-")
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="segmill-stage-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def stage(df: DataFrame, cfg: JobConfig, name: str) -> DataFrame:
     """Write ``df`` under the run's folder and read it back.
 
