@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from segmill.functions.codes import MISSING, MISSING_EMPLOYEE, MISSING_OR_NA
+from segmill.operators.partitioning import spread_small
 
 # name -> (Spark query, SQL text or None)
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -28,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for text work: the given files hold one row group each."""
+    return spread_small(table(spark, sf_dir, name))
+
+
 @dataclass(frozen=True)
 class Derived:
     """An input both engines derive from the given tables with the same SQL.
@@ -38,9 +44,9 @@ class Derived:
 
     text: str
 
-    def df(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def df(self, spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
         names = set(re.findall(r"{(\w+)}", self.text))
-        return spark.sql(self.text, **{n: table(spark, sf_dir, n) for n in names})
+        return spark.sql(self.text, **{n: read(spark, sf_dir, n) for n in names})
 
     @property
     def sql(self) -> str:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from segmill.catalog.base import Derived, check, table
+from segmill.catalog.base import Derived, check, text_table
 from segmill.functions import text as T
 from segmill.plans import mining
 
@@ -28,7 +28,7 @@ SCRIPTS = Derived("""
 )
 def t1_quoted_links(spark, sf):
     return mining.extract(
-        table(spark, sf, "pages"), "page_id", "html",
+        text_table(spark, sf, "pages"), "page_id", "html",
         lambda x: T.pattern_matches(x, 'href="([^"]*)"'),
     )
 
@@ -52,7 +52,7 @@ _QUOTED = T.QUOTED_PATTERN.replace("'", "''")
     """
 )
 def t1_fragments(spark, sf):
-    return mining.extract(SCRIPTS.df(spark, sf), "doc_id", "script", T.fragments)
+    return mining.extract(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", T.fragments)
 
 
 def _blocks_sql(source: str, id_col: str, keywords, block: str) -> str:
@@ -93,7 +93,7 @@ STRIPPED_BLOCK = (
 
 @check(_blocks_sql(SCRIPTS.sql, "doc_id", T.BLOCK_KEYWORDS, RAW_BLOCK))
 def t2_line_blocks(spark, sf):
-    return mining.extract(SCRIPTS.df(spark, sf), "doc_id", "script", T.line_blocks)
+    return mining.extract(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", T.line_blocks)
 
 
 PAGES = Derived("SELECT page_id, replace(html, '><', '>)' || chr(10) || '<') AS script FROM {pages}")
@@ -102,7 +102,7 @@ PAGES = Derived("SELECT page_id, replace(html, '><', '>)' || chr(10) || '<') AS
 @check(_blocks_sql(PAGES.sql, "page_id", ("href", "class"), RAW_BLOCK))
 def t2_page_blocks(spark, sf):
     return mining.extract(
-        PAGES.df(spark, sf), "page_id", "script", lambda x: T.line_blocks(x, ("href", "class"))
+        PAGES.df(spark, sf, text_table), "page_id", "script", lambda x: T.line_blocks(x, ("href", "class"))
     )
 
 
@@ -120,7 +120,7 @@ _NORMAL = f"trim(regexp_replace({_NORMAL}, '\\s+', ' ', 'g'))"
     f"({_blocks_sql(SCRIPTS.sql, 'doc_id', T.BLOCK_KEYWORDS, STRIPPED_BLOCK)}))"
 )
 def t3_normalised_blocks(spark, sf):
-    return mining.extract(SCRIPTS.df(spark, sf), "doc_id", "script", T.normalised_blocks)
+    return mining.extract(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", T.normalised_blocks)
 
 
 def _scan_sql(source: str, id_col: str, text_col: str) -> str:
@@ -155,17 +155,17 @@ def _scan_sql(source: str, id_col: str, text_col: str) -> str:
 
 @check(_scan_sql("benchmark", "item_id", "text"))
 def t4_scanned_benchmark(spark, sf):
-    return mining.extract(table(spark, sf, "benchmark"), "item_id", "text", T.scan_statements)
+    return mining.extract(text_table(spark, sf, "benchmark"), "item_id", "text", T.scan_statements)
 
 
 @check(_scan_sql(SCRIPTS.sql, "doc_id", "script"))
 def t4_scanned_scripts(spark, sf):
-    return mining.extract(SCRIPTS.df(spark, sf), "doc_id", "script", T.scan_statements)
+    return mining.extract(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", T.scan_statements)
 
 
 @check(_scan_sql("pages", "page_id", "html"))
 def t4_scanned_pages(spark, sf):
-    return mining.extract(table(spark, sf, "pages"), "page_id", "html", T.scan_statements)
+    return mining.extract(text_table(spark, sf, "pages"), "page_id", "html", T.scan_statements)
 
 
 _METHODS = "|".join(T.METHOD_NAMES)
@@ -177,7 +177,7 @@ _METHODS = "|".join(T.METHOD_NAMES)
     f"FROM {SCRIPTS.sql})"
 )
 def t5_method_calls(spark, sf):
-    return mining.extract(SCRIPTS.df(spark, sf), "doc_id", "script", T.method_calls)
+    return mining.extract(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", T.method_calls)
 
 
 @check(
@@ -186,7 +186,7 @@ def t5_method_calls(spark, sf):
 )
 def a3_tag_frequency(spark, sf):
     return mining.frequency(
-        table(spark, sf, "pages"), "html", lambda x: T.pattern_matches(x, "<([a-z0-9]+)[ >]")
+        text_table(spark, sf, "pages"), "html", lambda x: T.pattern_matches(x, "<([a-z0-9]+)[ >]")
     )
 
 
@@ -199,12 +199,12 @@ def _vocabulary_sql(name: str, text_col: str) -> str:
 
 @check(_vocabulary_sql("benchmark", "text"))
 def t6_benchmark_vocabulary(spark, sf):
-    return mining.vocabulary(table(spark, sf, "benchmark"), "text")
+    return mining.vocabulary(text_table(spark, sf, "benchmark"), "text")
 
 
 @check(_vocabulary_sql("documents", "text"))
 def t6_document_vocabulary(spark, sf):
-    return mining.vocabulary(table(spark, sf, "documents"), "text")
+    return mining.vocabulary(text_table(spark, sf, "documents"), "text")
 
 
 @check(
@@ -221,8 +221,8 @@ def t6_document_vocabulary(spark, sf):
 )
 def t7_encoded_conversations(spark, sf):
     """Encoded with another table's vocabulary, so unknown characters occur."""
-    texts = table(spark, sf, "conversations").select("conv_id", "turn", "text")
-    vocab = mining.vocabulary(table(spark, sf, "benchmark"), "text")
+    texts = text_table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    vocab = mining.vocabulary(text_table(spark, sf, "benchmark"), "text")
     encoded = mining.encode(texts, "text", vocab, pad_to=mining.longest(texts, "text"))
     weighted = F.transform("ids", lambda x, i: x.cast("bigint") * (i + 1))
     checksum = F.aggregate(weighted, F.lit(0).cast("bigint"), lambda a, b: a + b)
@@ -240,7 +240,7 @@ def t7_encoded_conversations(spark, sf):
     """
 )
 def t8_decoded_benchmark(spark, sf):
-    texts = table(spark, sf, "benchmark")
+    texts = text_table(spark, sf, "benchmark")
     vocab = mining.vocabulary(texts, "text")
     encoded = mining.encode(texts, "text", vocab, pad_to=mining.longest(texts, "text"))
     return mining.decode(encoded, "ids", vocab, out="decoded").select("item_id", "decoded")
