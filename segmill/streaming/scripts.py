@@ -14,7 +14,7 @@ from segmill.functions.text import unix_newlines
 
 def stream_scripts(spark: SparkSession, path: str) -> DataFrame:
     """``(script_id, text)`` of the files that appear under ``path``."""
-    files = spark.readStream.option("wholetext", True).text(path)
+    files = spark.readStream.text(path, wholetext=True)
     return files.select(
         F.col("_metadata.file_path").alias("script_id"),
         unix_newlines(F.col("value")).alias("text"),

@@ -1,0 +1,159 @@
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from segmill.functions.rules import when_matched
+from segmill.operators.filters import exclude_codes, exclude_status, split_by
+from segmill.operators.joins import (
+    bounded_broadcast,
+    duplicate_keys,
+    estimated_bytes,
+    left_lookup,
+)
+from segmill.operators.months import month_ends
+from segmill.operators.schema import conform, with_audit
+from segmill.operators.sets import union_bag, union_set
+from segmill.operators.windows import heavy_keys, partition_max, window_max
+from segmill.sources.config import JobConfig
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def bag(df) -> Counter:
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_exclusions_drop_nulls(spark):
+    df = spark.createDataFrame([("DEL",), ("DEL ",), (None,), ("ACT",)], "s string")
+    assert bag(exclude_status(df, "s")) == {("ACT",): 1}
+    assert bag(exclude_status(df, "s", trim=False)) == {("ACT",): 1, ("DEL ",): 1}
+    assert bag(exclude_codes(df, "s", ["ACT"])) == {("DEL",): 1, ("DEL ",): 1}
+    assert {k: v.count() for k, v in split_by(df, "s", ["DEL", "ACT"]).items()} == {
+        "DEL": 1, "ACT": 1,
+    }
+
+
+def test_left_lookup_keeps_multiplicity_and_tells_matches(spark):
+    rows = spark.createDataFrame([("a",), (" a",), ("b",), (None,), ("c",)], "k string")
+    dim = spark.createDataFrame([("a", "1"), ("a", "2"), ("c", None)], "k string, v string")
+    out = left_lookup(rows, dim, [(F.trim("k"), "k")], {"v": "v"}, matched="hit")
+    out = out.select("k", when_matched(F.col("hit"), F.col("v")).alias("v"))
+    assert bag(out) == {
+        ("a", "1"): 1, ("a", "2"): 1, (" a", "1"): 1, (" a", "2"): 1, ("b", "N"): 1,
+        (None, "N"): 1, ("c", None): 1,
+    }
+    untrimmed = left_lookup(rows, dim, [("k", "k")], {"v": "v"})
+    assert untrimmed.where("v is not null").count() == 2
+    assert bag(duplicate_keys(dim, ["k"])) == {("a", 2): 1}
+
+
+def test_broadcast_hint_depends_on_size(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    size = estimated_bytes(orders)
+    assert 0 < size < 10_000_000
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def joined(limit):
+            return left_lookup(
+                items, bounded_broadcast(orders, limit), [("l_orderkey", "o_orderkey")],
+                {"status": "o_orderstatus"},
+            )
+        assert "BroadcastHashJoin" in plan(joined(size))
+        assert "SortMergeJoin" in plan(joined(size - 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_lookup_prunes_the_dimension(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_totalprice > 1000")
+    out = left_lookup(items, orders, [("l_orderkey", "o_orderkey")], {"s": "o_orderstatus"})
+    text = plan(out)
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)" in text
+    assert "o_orderpriority" not in text
+
+
+def test_window_max_treats_nulls_as_group_and_skips_null_values(spark):
+    rows = [("a", None, "x"), ("a", None, "y"), (None, "k", None), (None, "k", "z"),
+            ("n", "n", None)]
+    df = spark.createDataFrame(rows, "p string, q string, v string")
+    expected = {
+        ("a", None, "x", "y"): 1, ("a", None, "y", "y"): 1, (None, "k", None, "z"): 1,
+        (None, "k", "z", "z"): 1, ("n", "n", None, None): 1,
+    }
+    assert bag(window_max(df, ["p", "q"], "v", "m")) == expected
+    for min_rows in (0, 1, 2):
+        assert bag(partition_max(df, ["p", "q"], "v", "m", JobConfig(), min_rows)) == expected
+
+
+def test_heavy_keys_leave_the_window(spark):
+    # A third of the rows, exact copies among them, share one key.
+    rows = [("hot", i % 7) for i in range(3000)] + [(f"k{i % 2000}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    cfg = JobConfig()
+    assert heavy_keys(df, ["k"], cfg, 3000) is None
+    assert heavy_keys(df, ["k"], cfg, 2999).count() == 1
+    heavy = partition_max(df, ["k"], "v", "m", cfg, 1000)
+    assert bag(heavy) == bag(window_max(df, ["k"], "v", "m"))
+    assert "LeftAnti" in plan(heavy) and "Window" in plan(heavy)
+
+
+def test_two_heavy_calls_in_one_run_do_not_overwrite_each_other(spark):
+    df = spark.createDataFrame([("a", "b", i) for i in range(10)], "p string, q string, v int")
+    cfg = JobConfig()
+    once = partition_max(df, ["p"], "v", "m", cfg, 1)
+    twice = partition_max(once, ["q"], "v", "n", cfg, 1)
+    assert bag(twice) == {("a", "b", i, 9, 9): 1 for i in range(10)}
+
+
+@pytest.mark.parametrize(
+    "start, end, expected",
+    [
+        ("2024-03-02", "2024-03-30", []),
+        ("2024-03-31", "2024-03-31", ["2024-03-31"]),
+        ("2024-03-02", "2024-03-31", ["2024-03-31"]),
+        ("2024-01-31", "2024-03-01", ["2024-01-31", "2024-02-29"]),
+        ("2023-02-01", "2023-02-28", ["2023-02-28"]),
+        ("2023-12-15", "2024-01-31", ["2023-12-31", "2024-01-31"]),
+        ("2024-05-01", "2024-04-01", []),
+        (None, "2024-04-30", []),
+        ("2024-04-01", None, []),
+    ],
+)
+def test_month_ends(spark, start, end, expected):
+    df = spark.createDataFrame([(start, end)], "s string, e string")
+    df = df.select(F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"))
+    assert [str(r.month_end) for r in month_ends(df, "s", "e").collect()] == expected
+
+
+def test_month_ends_within_a_calendar(spark):
+    df = spark.createDataFrame([(date(1990, 1, 1), date(9999, 12, 31))], "s date, e date")
+    out = month_ends(df, "s", "e", calendar=("2024-01-01", "2024-12-31"))
+    assert [r.month_end.month for r in out.collect()] == list(range(1, 13))
+
+
+def test_unions(spark):
+    a = spark.createDataFrame([(1, None)], "x int, y int")
+    b = spark.createDataFrame([(1, None), (2, 3)], "x int, y int")
+    assert bag(union_bag(a, b, b)) == {(1, None): 3, (2, 3): 2}
+    assert bag(union_set(a, b, b.select("y", "x"))) == {(1, None): 1, (2, 3): 1}
+
+
+def test_audit_and_conform(spark):
+    df = with_audit(spark.createDataFrame([("1", "x"), ("n", "y")], "a string, b string"), "k1")
+    schema = T.StructType([
+        T.StructField("B", T.StringType()), T.StructField("A", T.IntegerType()),
+        T.StructField("LOAD_LOG_KEY", T.LongType()), T.StructField("LOAD_DTM", T.TimestampType()),
+    ])
+    out = conform(df, schema)
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in schema]
+    rows = out.collect()
+    assert [(r.B, r.A, r.LOAD_LOG_KEY) for r in rows] == [("x", 1, None), ("y", None, None)]
+    assert rows[0].LOAD_DTM == rows[1].LOAD_DTM is not None
