@@ -16,7 +16,8 @@ from segmill.functions.codes import (
     upper_trim,
 )
 from segmill.operators.joins import left_lookup
-from segmill.operators.windows import window_max
+from segmill.operators.windows import partition_max
+from segmill.sources.config import JobConfig
 
 CODES = Derived("""
     SELECT o_orderkey,
@@ -470,7 +471,9 @@ GRAIN = Derived("""
     f"max(funding) OVER (PARTITION BY l_orderkey, month_end) AS max_funding FROM {GRAIN.sql}"
 )
 def d18_max_funding(spark, sf):
-    rows = window_max(GRAIN.df(spark, sf), ["l_orderkey", "month_end"], "funding", "max_funding")
+    rows = partition_max(
+        GRAIN.df(spark, sf), ["l_orderkey", "month_end"], "funding", "max_funding", JobConfig()
+    )
     return rows.select(
         "l_orderkey", "l_linenumber", "l_suppkey",
         F.col("month_end").cast("string").alias("month_end"), "max_funding",

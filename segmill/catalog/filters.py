@@ -9,7 +9,7 @@ from segmill.catalog.base import Derived, check, table
 from segmill.operators import filters as flt
 from segmill.operators.schema import conform, with_audit
 from segmill.operators.sets import group_max, union_bag, union_set
-from segmill.operators.windows import partition_max, window_max
+from segmill.operators.windows import partition_max
 from segmill.sources.config import JobConfig
 
 ORDERS = Derived("""
@@ -188,17 +188,15 @@ WINDOWED = Derived("""
            CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE l_returnflag END AS funding
     FROM {lineitem}
 """)
-W1_SQL = (
+
+
+@check(
     "SELECT *, max(funding) OVER (PARTITION BY l_partkey, supplier) AS max_funding "
     f"FROM {WINDOWED.sql}"
 )
-
-
-@check(W1_SQL)
 def w1_partition_max(spark, sf):
-    return window_max(
-        WINDOWED.df(spark, sf), ["l_partkey", "supplier"], "funding", "max_funding"
-    )
+    rows = WINDOWED.df(spark, sf)
+    return partition_max(rows, ["l_partkey", "supplier"], "funding", "max_funding", JobConfig())
 
 
 @check(

@@ -8,20 +8,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest optimiser size estimate that bounded_broadcast() hints, in bytes.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Largest size that bounded_broadcast() hints, in bytes of files or of plain rows.
+BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimiser's size estimate; None where the session does not offer it."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
+    """An upper bound for the frame's size; None where there is none.
+
+    Without column statistics the optimiser takes filters and aggregates to
+    keep everything and joins to keep every pair.  Only generators (explode)
+    can exceed its estimate, so a plan with one counts as unbounded.
+    """
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:
+        return None
+    plan = jdf.queryExecution().optimizedPlan()
+    if "Generate " in plan.toString():
         return None
-    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return int(plan.stats().sizeInBytes())
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only where the estimated size is within ``limit``.
+    """Hint a broadcast only where the frame is known to be within ``limit``.
 
     Beyond it the frame goes unhinted: the planner then shuffles, and adaptive
     execution still broadcasts if the measured size turns out small.

@@ -6,11 +6,14 @@ from pyspark.sql import SparkSession
 
 # AQE re-plans joins by measured size and splits skewed join partitions.  The
 # co-partition setting lets a join on (member, source, org, month) reuse a
-# shuffle that is already on (member, month) instead of repeating it.
+# shuffle that is already on (member, month) instead of repeating it; where the
+# first of two such joins turns out skewed, the forced split takes precedence
+# over the reuse.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
