@@ -165,7 +165,7 @@ def pattern_matches(x: Column, pattern: str, group: int = 1) -> Column:
 
 def chars(x: Column) -> Column:
     """The characters (code points) of a text; none for an empty one."""
-    return F.filter(F.split(x, "", -1), lambda c: c != "")
+    return F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, "", -1))
 
 
 def join_statements(statements: Column, separator: str = "\n\n", terminal: bool = False) -> Column:
