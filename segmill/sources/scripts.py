@@ -42,6 +42,6 @@ def write_statements(
     df: DataFrame, path: str, id_col: str, statements_col: str, separator: str = "\n\n",
     terminal: bool = False, mode: str = "errorifexists",
 ) -> None:
-    """Write the rendered texts, one record per script, in the order of no one."""
+    """Write the rendered texts, one record per script; the records have no fixed order."""
     texts = render_statements(df, id_col, statements_col, separator, terminal)
     texts.select("text").write.mode(mode).text(path, lineSep="\n")

@@ -44,3 +44,9 @@ def stage(df: DataFrame, cfg: JobConfig, name: str) -> DataFrame:
     path = f"{stage_root(spark, cfg)}/{cfg.run_id}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_staged(spark: SparkSession, cfg: JobConfig) -> None:
+    """Delete what a run has staged, once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark, cfg)}/{cfg.run_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,10 +1,12 @@
+import os
+
 import pytest
 
 from segmill.functions import text as T
 from segmill.plans import mining
 from segmill.sources.config import JobConfig
 from segmill.sources.scripts import read_scripts, render_statements, write_statements
-from segmill.sources.staging import stage, stage_root
+from segmill.sources.staging import discard_staged, stage, stage_root
 from segmill.sources.tables import as_view, read_table, sql_from_file, sql_template
 from segmill.streaming.scripts import stream_scripts
 
@@ -41,6 +43,8 @@ def test_stage_keeps_rows_and_uses_the_shared_folder(spark, tmp_path):
     assert staged.dtypes == df.dtypes and staged.exceptAll(df).isEmpty()
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(f.startswith(f"file://{shared}/run/numbers/") for f in staged.inputFiles())
+    discard_staged(spark, JobConfig(run_id="run"))
+    assert not os.path.exists(f"{shared}/run") and os.path.exists(shared)
     assert stage_root(spark, JobConfig(stage_dir="s3://bucket/x/")) == "s3://bucket/x"
 
 
