@@ -1,7 +1,7 @@
 """Segmentation rules: one Column in terms of others.
 
 Arguments that come from the right side of a left join are NULL on unmatched
-rows.  ``*_matched`` arguments are boolean and never NULL.
+rows.  ``*matched`` arguments are boolean; NULL counts as unmatched.
 """
 
 from __future__ import annotations
