@@ -56,6 +56,10 @@ def lines(x: Column) -> Column:
     return F.split(x, "\n", -1)
 
 
+def lines_with_ends(x: Column) -> Column:
+    return F.split(x, r"(?<=\n)", -1)
+
+
 def fragments(x: Column, pattern: str = FRAGMENT_PATTERN) -> Column:
     """Matches of ``pattern``; one that names a table or query is cut to its first quoted part.
 

@@ -40,10 +40,13 @@ def frequency(
 def vocabulary(df: DataFrame, text_col: str) -> DataFrame:
     """``(ch, idx)``: the corpus' characters, numbered from 0 by code point.
 
-    Each text is reduced to its own alphabet before the shuffle.  The ranking
-    sees one row per character of the alphabet, of which Unicode has 1.1 million.
+    Texts are taken apart by line, so that a long one never stands in memory as
+    an array of characters, and each line is reduced to its own alphabet before
+    the shuffle.  The ranking sees one row per character of the alphabet, of
+    which Unicode has 1.1 million.
     """
-    alphabet = df.select(F.explode(F.array_distinct(T.chars(F.col(text_col)))).alias("ch"))
+    lines = df.select(F.explode(T.lines_with_ends(F.col(text_col))).alias("line"))
+    alphabet = lines.select(F.explode(F.array_distinct(T.chars(F.col("line")))).alias("ch"))
     rank = F.row_number().over(Window.orderBy("ch")) - 1
     return alphabet.distinct().select("ch", rank.alias("idx"))
 
