@@ -159,8 +159,15 @@ def scan_statements(x: Column) -> Column:
 
 
 def method_calls(x: Column, names: Sequence[str] = METHOD_NAMES) -> Column:
-    """Names of the calls ``.name(…)``, in text order."""
-    return F.regexp_extract_all(x, F.lit(rf"(?s)\.({_one_of(names)})\(.*?\)"), F.lit(1))
+    """Names of the calls ``.name(…)``, in text order.
+
+    A call reaches to the next ")" and hides the calls before it.  An open one
+    is matched to the end of the text, as in ``line_blocks``, and dropped.
+    """
+    call = rf"(?s)\.(?:{_one_of(names)})\(.*?(?:\)|\z)"
+    found = F.regexp_extract_all(x, F.lit(call), F.lit(0))
+    closed = F.filter(found, lambda c: F.endswith(c, F.lit(")")))
+    return F.transform(closed, lambda c: F.ltrim(F.substring_index(c, "(", 1), F.lit(".")))
 
 
 def pattern_matches(x: Column, pattern: str, group: int = 1) -> Column:

@@ -135,6 +135,8 @@ def test_long_texts_do_not_exhaust_the_stack(spark):
 def test_method_calls(spark):
     calls = run(spark, T.method_calls, SCRIPT + ".agg(max(x)).orderByX(1).filter (2)")[0]
     assert calls == ["select", "where", "join", "agg"]
+    edges = run(spark, T.method_calls, ".join(a.where(b).agg(c", ".join(" * 3, "x.select()", "")
+    assert edges == [["join"], [], ["select"], []]
 
 
 def test_vocabulary_is_ordered_by_code_point(spark):
