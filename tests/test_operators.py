@@ -71,6 +71,14 @@ def test_broadcast_hint_depends_on_size(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_frames_that_can_grow_rows_are_not_hinted(spark, sf_dir):
+    spans = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey", "o_orderdate AS s", "o_orderdate + INTERVAL 1 YEAR AS e")
+    grown = month_ends(spans, "s", "e")
+    assert estimated_bytes(spans) is not None and estimated_bytes(grown) is None
+    assert bounded_broadcast(grown) is grown
+
+
 def test_lookup_prunes_the_dimension(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_totalprice > 1000")
