@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import rules, sharding
+from segmill.llm import rules, sharding, substrings
 from segmill.llm.base import REGISTRY, check, table
 
 __all__ = ["REGISTRY"]
@@ -23,6 +23,37 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+@check(rf"""
+WITH w AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS ws FROM documents)
+), win AS (
+  SELECT doc_id, pos, count(*) OVER p AS n,
+    md5(string_agg(word, chr(10)) OVER p) AS seq
+  FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+), later AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY seq ORDER BY doc_id, pos) AS nth FROM win WHERE n = 20)
+  WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range(20)) AS k)
+), rest AS (
+  SELECT w.doc_id, count(*) AS n_words, count(gone.pos) AS n_removed,
+    string_agg(word, ' ' ORDER BY w.pos) FILTER (WHERE gone.pos IS NULL) AS kept
+  FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.pos = w.pos GROUP BY w.doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN rest USING (doc_id)
+""")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that stand earlier."""
+    docs = table(spark, sf_dir, "documents")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 @check(rf"""
 WITH w AS (
   SELECT row_id, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
