@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import rules, sharding, substrings
+from segmill.llm import minhash, rules, sharding, substrings
 from segmill.llm.base import REGISTRY, check, table
 
 __all__ = ["REGISTRY"]
@@ -54,6 +54,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check()
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near duplicates."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @check(rf"""
 WITH w AS (
   SELECT row_id, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
