@@ -154,10 +154,14 @@ def remove_repeats(
         docs.select("row", "text").mapInArrow(lambda it: _half_windows(it, window), "h long, row long, pos int"),
         "half",
     )
-    again = half.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Written out, so that the join below has two plain shuffles, of which a
+    # very frequent window's is split.
+    again = scratch.put(
+        half.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "again"
+    )
     survivors = half.join(again, "h").groupBy("row").agg(F.sort_array(F.collect_set("pos")).alias("repeated"))
     repeated = scratch.put(survivors, "repeated")
-    scratch.drop("half")
+    scratch.drop("half", "again")
     # Firsts of all windows looked at, unrepeated ones too: what is not a first is later.
     found = docs.select("id", "row", "text").join(repeated, "row").mapInArrow(
         lambda it: _full_windows(it, window), "a long, b long, id long, row long, pos int"
