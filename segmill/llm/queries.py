@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import minhash, rules, sharding, substrings
+from segmill.llm import minhash, quality, rules, sharding, substrings, toxicity
 from segmill.llm.base import REGISTRY, check, table
+from segmill.llm.training import held_out
 
 __all__ = ["REGISTRY"]
 
@@ -20,9 +21,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS)
 
 
+# A document is good from this score on.
+QUALITY = 0.7
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+@check()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, with a lexicon learned from the other folds' labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    kept_out = held_out("doc_id", 5, 0)
+    lexicon = toxicity.learn(docs, labels, ~kept_out)
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", kept_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @check(rf"""
 WITH w AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
@@ -111,3 +126,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~rules.passes(rules.BASE)).alias("base_failed"),
         rules.passes(rules.POLICIES["v2"]).alias("kept"), "failed_rules",
     )
+
+
+@check()
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, with a model learned from the other folds' positives."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    kept_out = held_out("doc_id", 4, 2)
+    model = quality.learn(docs, labels, ~kept_out)
+    return quality.score(docs, model).select(
+        "doc_id", kept_out.alias("held_out"), "score",
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
+    )
