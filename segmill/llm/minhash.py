@@ -31,10 +31,12 @@ from segmill.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-# At similarity 0.8 a pair shares none of 20 bands of 4 registers with
-# probability (1 - 0.8 ** 4) ** 20, about 3 in 100,000.
-BANDS = 20
-BAND_REGISTERS = 4
+# A pair at similarity 0.8 agrees on 128 * 0.8 registers, give or take five, and
+# then shares none of 40 bands of 7 with a probability of a few in 10,000.  Bands
+# this long keep texts apart that share no more than a common passage.
+REGISTERS = 128
+BANDS = 40
+BAND_REGISTERS = 7
 
 # A bucket whose members fall into several components is looked at further:
 # in rounds with this many more hubs, then pair by pair.
@@ -43,6 +45,13 @@ HUB_ROUNDS = 3
 PAIRS_PER_TEXT = 4
 
 
+def band_registers() -> np.ndarray:
+    """The registers of each band: shuffled decks of all registers, dealt one after another."""
+    rng = np.random.default_rng(5)
+    decks = [rng.permutation(REGISTERS) for _ in range(-(-BANDS * BAND_REGISTERS // REGISTERS))]
+    return np.concatenate(decks)[: BANDS * BAND_REGISTERS].reshape(BANDS, BAND_REGISTERS)
+
+
 def shingle_bags(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(text, shingle, count)``, in order of text and shingle.
 
@@ -108,18 +117,19 @@ def signatures(text: np.ndarray, shingle: np.ndarray, count: np.ndarray, n: int,
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    registers = band_registers()
     for batch in W.chunks(batches, "text"):
         get = lambda c: batch.column(batch.schema.get_field_index(c))
         w = W.split(*W.flat(get("text")))
         n = batch.num_rows
         some = w.counts > 0
         sequences = [_sequence(w, family) for family in (0, 1)]
-        names = signatures(*shingle_bags(w), n, BANDS * BAND_REGISTERS)
+        names = signatures(*shingle_bags(w), n, REGISTERS)
         buckets = np.zeros((n, BANDS), dtype=np.uint64)
         for band in range(BANDS):
             h = np.full(n, band + 1, dtype=np.uint64)
             for k in range(BAND_REGISTERS):
-                h = W.joined(h, names[:, band * BAND_REGISTERS + k])
+                h = W.joined(h, names[:, registers[band, k]])
             buckets[:, band] = h
         lists = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)),
@@ -221,16 +231,17 @@ def near_duplicates(
     # One node per distinct word sequence; written once, so the numbers are fixed.
     nodes = scratch.put(
         signed.where("n_words > 0").groupBy("a", "b").agg(
-            F.min("id").alias("first_id"), F.min("row").alias("row"), F.first("buckets").alias("buckets")
+            F.min("id").alias("first_id"), F.min("row").alias("row"), F.first("buckets").alias("buckets"),
+            F.greatest(F.lit(1), F.first("n_words") - (SHINGLE - 1)).alias("size"),
         ).withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    member = nodes.select("node", F.explode("buckets").alias("bucket"))
+    member = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
     hubs = scratch.put(
         member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1"),
         "hubs",
     )
-    shared = scratch.put(member.join(hubs, "bucket").select("bucket", "n", "hub", "node"), "shared")
+    shared = scratch.put(member.join(hubs, "bucket").select("bucket", "n", "hub", "node", "size"), "shared")
     wanted = nodes.select("row", "node").join(shared.select("node").distinct(), "node", "left_semi")
     texts = scratch.put(docs.select("row", "text").join(wanted, "row").select("node", "text"), "texts")
 
@@ -247,9 +258,12 @@ def near_duplicates(
             break
         last = turn == HUB_ROUNDS or left <= PAIRS_PER_TEXT * n_texts
         some = rest if last else _more_hubs(rest, HUBS ** (turn + 1), turn)
-        other = some.select("bucket", F.col("node").alias("other"), F.col("component").alias("other_component"))
-        apart = rest.join(other, "bucket").where("component <> other_component")
-        found.compare(apart.select(*_ordered("node", "other")))
+        other = some.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size")])
+        apart = rest.join(other, "bucket").where("component <> other_component").where(
+            # The similarity is at most the ratio of the sizes.
+            F.least("size", "other_size") * 1000 >= F.greatest("size", "other_size") * round(threshold * 1000)
+        )
+        found.compare(apart.select(*_ordered("node", "other_node")))
         labels = components(found.links, scratch, f"round-{turn}")
         if last:
             break
@@ -267,12 +281,12 @@ def near_duplicates(
 
 
 def _open_buckets(shared: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """``(bucket, node, component)`` of the buckets of three or more that hold several components.
+    """``(bucket, node, size, component)`` of the buckets of three or more that hold several components.
 
     A bucket of two has been compared with its hub, hence wholly.
     """
     labelled = shared.where("n > 2").join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")
+        "bucket", "node", "size", F.coalesce("component", "node").alias("component")
     )
     labelled = scratch.put(labelled, f"{name}-labelled")
     several = labelled.groupBy("bucket").agg(
@@ -286,6 +300,6 @@ def _more_hubs(rest: DataFrame, hubs: int, turn: int) -> DataFrame:
     order = F.xxhash64("node", F.lit(turn))
     return (
         rest.groupBy("bucket", F.pmod(order, F.lit(hubs)).alias("slot"))
-        .agg(F.min(F.struct(order.alias("o"), "node", "component")).alias("hub"))
-        .select("bucket", "hub.node", "hub.component")
+        .agg(F.min(F.struct(order.alias("o"), "node", "component", "size")).alias("hub"))
+        .select("bucket", "hub.node", "hub.component", "hub.size")
     )
