@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmill.llm import minhash, quality, rules, sharding, substrings, toxicity
+from segmill.llm import (
+    minhash,
+    mixing,
+    quality,
+    rules,
+    sharding,
+    substrings,
+    templates,
+    toxicity,
+)
 from segmill.llm.base import REGISTRY, check, table
 from segmill.llm.training import held_out
 
@@ -38,6 +47,20 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rare sources, languages and topics gain; half of the tokens are kept.
+EXPONENTS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
+TOKEN_BUDGET = 0.5
+
+
+@check(mixing.mix_sql(EXPONENTS, TOKEN_BUDGET))
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability in the mixture, and whether it is drawn."""
+    docs = table(spark, sf_dir, "documents").withColumn("topic", mixing.topic_of(F.col("text")))
+    return mixing.mix(docs, EXPONENTS, TOKEN_BUDGET).select(
+        "doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept"
+    )
+
+
 @check(rf"""
 WITH w AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
@@ -69,6 +92,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(templates.ORACLE_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines of recurring templates."""
+    return templates.drop_templates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 @check()
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near duplicates."""

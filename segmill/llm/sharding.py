@@ -69,8 +69,8 @@ def assign_shards(
         F.col(key).cast("string"), F.concat(F.lit("\u0000"), F.coalesce(F.col(spill_key).cast("string"), F.lit("")))
     )
     rows = df.drop(slot, shard).withColumn(slot, slot_of(place, slots))
-    owners = _owners(spark, shards, slots).toDF("_slot", shard)
-    return rows.join(F.broadcast(owners), F.col(slot) == F.col("_slot"), "left").drop("_slot")
+    owners = _owners(spark, shards, slots).toDF("__slot", shard)
+    return rows.join(F.broadcast(owners), F.col(slot) == F.col("__slot"), "left").drop("__slot")
 
 
 def _owners(spark: SparkSession, shards: Sequence[str], slots: int) -> DataFrame:
