@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.llm import (
+    hnsw,
     minhash,
     mixing,
     quality,
@@ -169,3 +170,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", kept_out.alias("held_out"), "score",
         (F.col("score") >= QUALITY).cast("int").alias("predicted"),
     )
+
+
+@check()
+def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
