@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmill.llm import words as W
@@ -41,6 +41,7 @@ BAND_REGISTERS = 7
 # A bucket whose members fall into several components is looked at further:
 # in rounds with this many more hubs, then pair by pair.
 HUBS = 8
+NO_ID = -(1 << 63)
 HUB_ROUNDS = 3
 PAIRS_PER_TEXT = 4
 
@@ -218,6 +219,33 @@ def near_duplicates(
     Null and empty texts are near nothing: their class is their own id.  A null
     id never names a class that has another id.  Other columns are not looked at.
     """
+    signed, named = _classes(df, id_col, text_col, threshold)
+    return signed.select("id", "n_words", "a", "b").join(named, ["a", "b"], "left").select(
+        F.col("id").alias(id_col), F.when(F.col("n_words") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id")
+    )
+
+
+def deduplicate(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """One row of ``df`` per near-duplicate class, the one of smallest id, with all columns.
+
+    Of rows alike in id and text one stays.  Null and empty texts are near
+    nothing and stay, but for such repeated rows.
+    """
+    signed, named = _classes(df, id_col, text_col, threshold)
+    stay = named.select(F.col("class_id").alias("id"), F.col("class_row").alias("row")).union(
+        signed.where("n_words = 0").select("id", "row")
+    ).select(F.coalesce("id", F.lit(NO_ID)).alias("__stay_id"), F.col("row").alias("__stay_row")).distinct()
+    ids = F.col(id_col).cast("long")
+    keyed = df.withColumns({"__id": F.coalesce(ids, F.lit(NO_ID)), "__row": F.xxhash64(ids, F.col(text_col))})
+    kept = keyed.join(stay, (F.col("__id") == F.col("__stay_id")) & (F.col("__row") == F.col("__stay_row")), "left_semi")
+    place = F.row_number().over(Window.partitionBy("__id", "__row").orderBy("__row"))
+    return kept.withColumn("__place", place).where("__place = 1").select(*df.columns)
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and ``(a, b, class_id, class_row)`` for each distinct word sequence."""
     spark = df.sparkSession
     scratch = Scratch(spark, "minhash")
     docs = df.select(
@@ -231,9 +259,11 @@ def near_duplicates(
     # One node per distinct word sequence; written once, so the numbers are fixed.
     nodes = scratch.put(
         signed.where("n_words > 0").groupBy("a", "b").agg(
-            F.min("id").alias("first_id"), F.min("row").alias("row"), F.first("buckets").alias("buckets"),
+            # Null ids last, so that they name no class that has another.
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"),
+            F.first("buckets").alias("buckets"),
             F.greatest(F.lit(1), F.first("n_words") - (SHINGLE - 1)).alias("size"),
-        ).withColumn("node", F.monotonically_increasing_id()),
+        ).withColumns({"row": F.col("first.row"), "node": F.monotonically_increasing_id()}),
         "nodes",
     )
     member = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
@@ -269,15 +299,11 @@ def near_duplicates(
             break
 
     classes = (
-        nodes.join(labels, "node").groupBy("component").agg(F.min("first_id").alias("class_id"))
-        .join(labels, "component").select("node", "class_id")
-    )
-    named = nodes.join(classes, "node", "left").select(
-        "a", "b", F.coalesce("class_id", "first_id").alias("class_id")
-    )
-    return signed.select("id", "n_words", "a", "b").join(named, ["a", "b"], "left").select(
-        F.col("id").alias(id_col), F.when(F.col("n_words") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id")
+        nodes.join(labels, "node").groupBy("component").agg(F.min("first").alias("class"))
+        .join(labels, "component").select("node", "class")
     )
+    named = nodes.join(classes, "node", "left").withColumn("class", F.coalesce("class", "first"))
+    return signed, named.select("a", "b", F.col("class.id").alias("class_id"), F.col("class.row").alias("class_row"))
 
 
 def _open_buckets(shared: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:

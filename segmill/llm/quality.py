@@ -170,22 +170,22 @@ def learn(
     return fit(x[is_good], x[~is_good], prior)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
-    for batch in W.chunks(batches, "text"):
-        text = batch.column(batch.schema.get_field_index("text"))
-        scores = np.full(batch.num_rows, 0.5) if model is None else sigmoid(model.logits(features(text)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index("id")), pa.array(scores)], names=["id", "score"]
-        )
+def _score(batches: Iterator[pa.RecordBatch], model: Model | None, text: str, out: str) -> Iterator[pa.RecordBatch]:
+    for batch in W.chunks(batches, text):
+        at = batch.schema.get_field_index(text)
+        column = batch.column(at)
+        scores = np.full(batch.num_rows, 0.5) if model is None else sigmoid(model.logits(features(column)))
+        batch = batch.set_column(at, text, column.cast(pa.string()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, out])
 
 
-def score(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, score)``: how likely each text is a good one, from 0 to 1.
+def with_score(df: DataFrame, model: Model | None, text_col: str = "text", out: str = "score") -> DataFrame:
+    """``df`` with how likely each text is a good one, from 0 to 1.
 
-    One pass over whole texts, no shuffle.  Null counts as empty; an empty text
-    gets the score of its features.  Without a model all scores are 0.5.
+    One pass over whole texts, no shuffle.  Null counts as empty, and comes back
+    empty; an empty text gets the score of its features.  Without a model all
+    scores are 0.5.  A column called ``out`` is replaced, others stay.
     """
-    kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _score(it, model), f"id {kind}, score double"
-    ).withColumnRenamed("id", id_col)
+    rest = df.drop(out)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
+    return rest.mapInArrow(lambda it: _score(it, model, text_col, out), f"{schema}, `{out}` double")

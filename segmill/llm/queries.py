@@ -9,6 +9,7 @@ from segmill.llm import (
     hnsw,
     minhash,
     mixing,
+    pieces,
     quality,
     rules,
     sharding,
@@ -107,6 +108,20 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# A parameter: the driver reads the model, tasks do not.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@check()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and whether they decode to its text (up to the sign for a space)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocab = pieces.load(PIECES)
+    decoded = pieces.decode_ids(pieces.encode(docs, vocab), vocab)
+    same = F.col("decoded") == F.replace("text", F.lit(pieces.SPACE), F.lit(" "))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
 @check(rf"""
 WITH w AS (
   SELECT row_id, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
@@ -166,7 +181,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     kept_out = held_out("doc_id", 4, 2)
     model = quality.learn(docs, labels, ~kept_out)
-    return quality.score(docs, model).select(
+    return quality.with_score(docs.select("doc_id", "text"), model).select(
         "doc_id", kept_out.alias("held_out"), "score",
         (F.col("score") >= QUALITY).cast("int").alias("predicted"),
     )

@@ -24,7 +24,9 @@ SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 
 
-def chunks(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def chunks(
+    batches: Iterable[pa.RecordBatch], text: str, size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with a bounded amount of text (one row at least), null as empty."""
     for batch in batches:
         at = batch.schema.get_field_index(text)
@@ -34,7 +36,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 
