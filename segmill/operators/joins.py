@@ -8,34 +8,73 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest size that bounded_broadcast() hints, in bytes of files or of plain rows.
+# Largest size that bounded_broadcast() hints, in bytes of rows in memory.
 BROADCAST_LIMIT = 32 * 1024 * 1024
 
+# Plan nodes that read files and work row by row.
+_ROW_LOCAL = ("Project", "Filter", "LogicalRelation", "Relation", "View", "SubqueryAlias")
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """An upper bound for the frame's size; None where there is none.
 
-    Without column statistics the optimiser takes filters and aggregates to
-    keep everything and joins to keep every pair.  Only generators (explode)
-    can exceed its estimate, so a plan with one counts as unbounded.
+def file_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files a row-local plan reads; None for any other plan.
+
+    A lower bound of its work, and no bound of its rows: files are compressed.
     """
     jdf = getattr(df, "_jdf", None)
     if jdf is None:
         return None
-    plan = jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString():
-        return None
-    return int(plan.stats().sizeInBytes())
+    total, nodes = 0, [jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if not node.nodeName().startswith(_ROW_LOCAL):
+            return None
+        children = node.children()
+        if children.isEmpty():
+            total += int(node.stats().sizeInBytes())
+        nodes.extend(children.apply(i) for i in range(children.size()))
+    return total
+
+
+def measured_bytes(df: DataFrame) -> int | None:
+    """The size of the frame's rows in memory, by one pass over them.
+
+    None if a column is nested, as its size is not that of a plain value.
+    """
+    fixed, texts = 8, []
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("array", "map", "struct", "variant"):
+            return None
+        fixed += 8
+        if kind in ("string", "binary", "varchar", "char"):
+            texts.append(F.col(f"`{field.name}`"))
+        elif kind == "decimal":
+            fixed += 16
+    # Texts take whole words.
+    width = F.lit(fixed)
+    for text in texts:
+        width = width + F.coalesce(F.octet_length(text), F.lit(0)) + 7
+    return df.select(width.cast("long").alias("w")).agg(F.sum("w")).first()[0] or 0
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only where the frame is known to be within ``limit``.
+    """Hint a broadcast only for a frame whose rows were measured to be within ``limit`` bytes.
 
-    Beyond it the frame goes unhinted: the planner then shuffles, and adaptive
-    execution still broadcasts if the measured size turns out small.
+    Measured are frames that read files row by row (such as staged ones), and
+    only if the files themselves are within the limit: one pass over little data,
+    run when called.  All other frames go unhinted: the planner decides, and
+    adaptive execution still broadcasts what turns out small.
     """
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
+
+
+def is_small(df: DataFrame, limit: int) -> bool:
+    """Whether the frame was measured to be within ``limit`` bytes (see ``bounded_broadcast``)."""
+    files = file_bytes(df)
+    if files is None or files > limit:
+        return False
+    size = measured_bytes(df)
+    return size is not None and size <= limit
 
 
 def left_lookup(

@@ -26,7 +26,7 @@ def month_ends(
     """One row per month end in ``[start, end]``; a row without any is dropped.
 
     ``calendar`` (first and last day, ISO) bounds open-ended ranges by the
-    months that can occur on the other side of the join.
+    months that occur on the other side of the join (see ``value_range``).
     """
     lo, hi = F.to_date(F.col(start)), F.to_date(F.col(end))
     if calendar:
@@ -35,6 +35,12 @@ def month_ends(
     return df.withColumn(out, F.explode(month_end_array(lo, hi)))
 
 
+def value_range(df: DataFrame, col: str) -> tuple[str, str]:
+    """Smallest and largest date of a column, found by one pass; an empty range if it has none."""
+    first, last = df.agg(F.min(col).cast("string"), F.max(col).cast("string")).first()
+    return (first, last) if first else ("9999-12-31", "0001-01-01")
+
+
 def _clip(value: Column, pick, bound: Column) -> Column:
     # greatest/least skip NULLs, but a range with a NULL end has no months.
     return F.when(value.isNotNull(), pick(value, bound))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from segmill.operators.joins import estimated_bytes
+from segmill.operators.joins import file_bytes
 
 SPREAD_LIMIT = 1 << 30
 BYTES_PER_TASK = 1 << 20
@@ -16,7 +16,7 @@ def spread_small(df: DataFrame, limit: int = SPREAD_LIMIT) -> DataFrame:
     A small file is often a single row group, hence a single task.  Large
     inputs come in many splits already and are left where they are.
     """
-    size = estimated_bytes(df)
+    size = file_bytes(df)
     if size is None or size > limit:
         return df
     tasks = min(df.sparkSession.sparkContext.defaultParallelism, size // BYTES_PER_TASK)

@@ -10,7 +10,9 @@ from segmill.operators.filters import exclude_codes, exclude_status, split_by
 from segmill.operators.joins import (
     bounded_broadcast,
     duplicate_keys,
-    estimated_bytes,
+    file_bytes,
+    is_small,
+    measured_bytes,
     left_lookup,
 )
 from segmill.operators.months import month_ends
@@ -55,7 +57,7 @@ def test_left_lookup_keeps_multiplicity_and_tells_matches(spark):
 def test_broadcast_hint_depends_on_size(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    size = estimated_bytes(orders)
+    size = max(file_bytes(orders), measured_bytes(orders))
     assert 0 < size < 10_000_000
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -75,10 +77,28 @@ def test_frames_that_can_grow_rows_are_not_hinted(spark, sf_dir):
     spans = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
         "o_orderkey", "o_orderdate AS s", "o_orderdate + INTERVAL 1 YEAR AS e")
     grown = month_ends(spans, "s", "e")
-    assert estimated_bytes(spans) is not None and estimated_bytes(grown) is None
+    assert file_bytes(spans) is not None and file_bytes(grown) is None
     assert bounded_broadcast(grown) is grown
 
 
+def test_hints_rest_on_measured_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = docs.select("text")
+    true = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    # The planner's estimate counts 20 bytes a text; the files are compressed.
+    assert measured_bytes(texts) >= true > file_bytes(texts)
+    assert not is_small(texts, true) and is_small(texts, 2 * true)
+    grown = docs.select(F.repeat("text", 100).alias("text"))
+    assert measured_bytes(grown) > 100 * true
+    assert bounded_broadcast(grown) is grown
+    for gathered in ("doc_id", "text"):
+        lists = docs.groupBy("lang").agg(F.collect_list(gathered).alias("all"))
+        assert bounded_broadcast(lists) is lists
+        assert bounded_broadcast(lists, 1000) is lists
+    assert bounded_broadcast(docs.select(F.split("text", " ").alias("words"))).columns == ["words"]
+    assert measured_bytes(docs.select(F.split("text", " ").alias("words"))) is None
+
+
 def test_lookup_prunes_the_dimension(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_totalprice > 1000")
