@@ -38,9 +38,9 @@ REGISTERS = 128
 BANDS = 40
 BAND_REGISTERS = 7
 
-# A bucket whose members fall into several components is looked at further:
-# in rounds with this many more hubs, then pair by pair.
-HUBS = 8
+# A bucket whose members fall into several components is looked at further: in
+# rounds with more and more hubs, and pair by pair once the pairs are few.
+HUBS = 4
 NO_ID = -(1 << 63)
 HUB_ROUNDS = 3
 PAIRS_PER_TEXT = 4
@@ -212,9 +212,10 @@ def near_duplicates(
     Copies are taken together first and never paired.  A bucket of any size is
     compared with one hub, its smallest member, by which a class usually becomes
     one component.  Only where a bucket still holds several components are its
-    members from different components compared: with more hubs in a few rounds,
-    then pair by pair.  Pairs within a component cannot change a class and are
-    never made.  No bucket is capped.
+    members from different components compared: with hubs of the largest one in a
+    few rounds, then pair by pair.  Pairs within a component cannot change a class
+    and are never made, and neither are pairs that cannot be similar because of
+    the shingles that only one of them has.  No bucket is capped.
 
     Null and empty texts are near nothing: their class is their own id.  A null
     id never names a class that has another id.  Other columns are not looked at.
@@ -279,19 +280,34 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
     found.compare(shared.where("node <> hub").select(*_ordered("node", "hub")))
     labels = components(found.links, scratch, "first")
     n_texts = nodes.count()
+    bounded = None
     for turn in range(HUB_ROUNDS + 1):
-        rest = _open_buckets(shared, labels, scratch, f"open-{turn}")
+        if bounded is None:
+            rest = _open_buckets(shared.where("n > 2"), labels, scratch, "open")
+            if rest.isEmpty():
+                break
+            # Texts with too many shingles of their own have no further links, and leave.
+            common = _common(texts, rest, scratch)
+            bounded = scratch.put(
+                rest.drop("component").join(common, "node")
+                .where(F.col("common") * 1000 >= F.col("size") * round(threshold * 1000)),
+                "bounded",
+            )
+        rest = _open_buckets(bounded, labels, scratch, f"open-{turn}")
         left = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
             ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p")
         ).agg(F.sum("p")).first()[0]
         if not left:
             break
         last = turn == HUB_ROUNDS or left <= PAIRS_PER_TEXT * n_texts
-        some = rest if last else _more_hubs(rest, HUBS ** (turn + 1), turn)
-        other = some.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size")])
+        some = rest if last else _more_hubs(rest, HUBS**turn, turn)
+        other = some.select(
+            "bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "common")]
+        )
+        shares = F.least("common", "other_common")
         apart = rest.join(other, "bucket").where("component <> other_component").where(
-            # The similarity is at most the ratio of the sizes.
-            F.least("size", "other_size") * 1000 >= F.greatest("size", "other_size") * round(threshold * 1000)
+            # No two texts share more than the fewer of their shingles that others have.
+            shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
         )
         found.compare(apart.select(*_ordered("node", "other_node")))
         labels = components(found.links, scratch, f"round-{turn}")
@@ -306,14 +322,9 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
     return signed, named.select("a", "b", F.col("class.id").alias("class_id"), F.col("class.row").alias("class_row"))
 
 
-def _open_buckets(shared: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """``(bucket, node, size, component)`` of the buckets of three or more that hold several components.
-
-    A bucket of two has been compared with its hub, hence wholly.
-    """
-    labelled = shared.where("n > 2").join(labels, "node", "left").select(
-        "bucket", "node", "size", F.coalesce("component", "node").alias("component")
-    )
+def _open_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The members, with their component, of the buckets that hold several components."""
+    labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = scratch.put(labelled, f"{name}-labelled")
     several = labelled.groupBy("bucket").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
@@ -321,11 +332,43 @@ def _open_buckets(shared: DataFrame, labels: DataFrame, scratch: Scratch, name:
     return scratch.put(labelled.join(several, "bucket", "left_semi"), name)
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in W.chunks(batches, "text"):
+        text, shingle, count = shingle_bags(W.split(*W.flat(batch.column(batch.schema.get_field_index("text")))))
+        nodes = batch.column(batch.schema.get_field_index("node")).to_numpy()[text]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes), pa.array(shingle.view(np.int64)), pa.array(count.astype(np.int64))],
+            names=["node", "shingle", "c"],
+        )
+
+
+def _common(texts: DataFrame, rest: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(node, common)``: how much of each text's bag other texts of open buckets have, too.
+
+    Texts that only share a bucket by a common passage are told apart by this
+    without comparing them.  One row per shingle and task is shuffled.
+    """
+    nodes = rest.select("node", "size").distinct()
+    bags = texts.join(nodes, "node", "left_semi").mapInArrow(_shingles, "node long, shingle long, c long")
+    own = (
+        bags.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.sum("c").alias("c"))
+        .where("n = 1").groupBy("node").agg(F.sum("c").alias("own"))
+    )
+    return nodes.join(own, "node", "left").select(
+        "node", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common")
+    )
+
+
 def _more_hubs(rest: DataFrame, hubs: int, turn: int) -> DataFrame:
-    """Up to ``hubs`` members of each bucket, other ones each turn."""
+    """Up to ``hubs`` members of each bucket's largest component, other ones each turn."""
+    counts = rest.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("m")).select(
+        "bucket", F.col("m.component").alias("component")
+    )
     order = F.xxhash64("node", F.lit(turn))
     return (
-        rest.groupBy("bucket", F.pmod(order, F.lit(hubs)).alias("slot"))
-        .agg(F.min(F.struct(order.alias("o"), "node", "component", "size")).alias("hub"))
-        .select("bucket", "hub.node", "hub.component", "hub.size")
+        rest.join(largest, ["bucket", "component"])
+        .groupBy("bucket", F.pmod(order, F.lit(hubs)).alias("slot"))
+        .agg(F.min(F.struct(order.alias("o"), "node", "component", "size", "common")).alias("hub"))
+        .select("bucket", "hub.node", "hub.component", "hub.size", "hub.common")
     )
