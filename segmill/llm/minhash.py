@@ -41,6 +41,8 @@ BAND_REGISTERS = 7
 # A bucket whose members fall into several components is looked at further: in
 # rounds with more and more hubs, and pair by pair once the pairs are few.
 HUBS = 4
+# Shingles are counted by this many classes to bound what two texts share.
+CLASSES = 64
 NO_ID = -(1 << 63)
 HUB_ROUNDS = 3
 PAIRS_PER_TEXT = 4
@@ -287,7 +289,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
             if rest.isEmpty():
                 break
             # Texts with too many shingles of their own have no further links, and leave.
-            common = _common(texts, rest, scratch)
+            common = _common(texts, rest)
             bounded = scratch.put(
                 rest.drop("component").join(common, "node")
                 .where(F.col("common") * 1000 >= F.col("size") * round(threshold * 1000)),
@@ -302,12 +304,17 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
         last = turn == HUB_ROUNDS or left <= PAIRS_PER_TEXT * n_texts
         some = rest if last else _more_hubs(rest, HUBS**turn, turn)
         other = some.select(
-            "bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "common")]
+            "bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "common", "classes")]
         )
-        shares = F.least("common", "other_common")
+
+        def similar(shares):
+            return shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
+
+        least = F.zip_with("classes", "other_classes", lambda a, b: F.least(a, b))
         apart = rest.join(other, "bucket").where("component <> other_component").where(
-            # No two texts share more than the fewer of their shingles that others have.
-            shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
+            # Two texts share no more than the fewer shingles of either, in each class.
+            similar(F.least("common", "other_common"))
+            & similar(F.aggregate(least, F.lit(0), lambda total, x: total + x))
         )
         found.compare(apart.select(*_ordered("node", "other_node")))
         labels = components(found.links, scratch, f"round-{turn}")
@@ -337,25 +344,43 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, shingle, count = shingle_bags(W.split(*W.flat(batch.column(batch.schema.get_field_index("text")))))
         nodes = batch.column(batch.schema.get_field_index("node")).to_numpy()[text]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes), pa.array(shingle.view(np.int64)), pa.array(count.astype(np.int64))],
+            [pa.array(nodes), pa.array(shingle.view(np.int64)), pa.array(count.astype(np.int32))],
             names=["node", "shingle", "c"],
         )
 
 
-def _common(texts: DataFrame, rest: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(node, common)``: how much of each text's bag other texts of open buckets have, too.
+def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in W.chunks(batches, "text"):
+        text, shingle, count = shingle_bags(W.split(*W.flat(batch.column(batch.schema.get_field_index("text")))))
+        cell = text * CLASSES + (shingle % np.uint64(CLASSES)).astype(np.int64)
+        counts = np.bincount(cell, weights=count, minlength=batch.num_rows * CLASSES).astype(np.int32)
+        lists = pa.ListArray.from_arrays(
+            pa.array((np.arange(batch.num_rows + 1) * CLASSES).astype(np.int32)), pa.array(counts)
+        )
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("node")), lists], names=["node", "counts"])
+
+
+def _common(texts: DataFrame, rest: DataFrame) -> DataFrame:
+    """``(node, common, classes)``: how much of each text's bag other texts of open buckets have, too.
 
     Texts that only share a bucket by a common passage are told apart by this
-    without comparing them.  One row per shingle and task is shuffled.
+    without comparing them.  ``classes`` has the number by class of shingle, by
+    which copies with different changes are told apart.  One row per shingle and
+    task is shuffled.
     """
-    nodes = rest.select("node", "size").distinct()
-    bags = texts.join(nodes, "node", "left_semi").mapInArrow(_shingles, "node long, shingle long, c long")
+    wanted = texts.join(rest.select("node").distinct(), "node", "left_semi")
     own = (
-        bags.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.sum("c").alias("c"))
-        .where("n = 1").groupBy("node").agg(F.sum("c").alias("own"))
+        wanted.mapInArrow(_shingles, "node long, shingle long, c int")
+        .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.sum("c").cast("int").alias("c"))
+        .where("n = 1")
+        .groupBy("node", F.pmod("shingle", F.lit(CLASSES)).cast("int").alias("k")).agg(F.sum("c").cast("int").alias("c"))
+        .groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("own"))
     )
-    return nodes.join(own, "node", "left").select(
-        "node", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common")
+    less = F.transform("counts", lambda x, k: x - F.coalesce(F.try_element_at(F.col("own"), k), F.lit(0)))
+    return (
+        wanted.mapInArrow(_class_counts, "node long, counts array<int>").join(own, "node", "left")
+        .select("node", F.when(F.col("own").isNull(), F.col("counts")).otherwise(less).alias("classes"))
+        .withColumn("common", F.aggregate("classes", F.lit(0), lambda total, x: total + x))
     )
 
 
@@ -369,6 +394,6 @@ def _more_hubs(rest: DataFrame, hubs: int, turn: int) -> DataFrame:
     return (
         rest.join(largest, ["bucket", "component"])
         .groupBy("bucket", F.pmod(order, F.lit(hubs)).alias("slot"))
-        .agg(F.min(F.struct(order.alias("o"), "node", "component", "size", "common")).alias("hub"))
-        .select("bucket", "hub.node", "hub.component", "hub.size", "hub.common")
+        .agg(F.min(F.struct(order.alias("o"), "node", "component", "size", "common", "classes")).alias("hub"))
+        .select("bucket", "hub.node", "hub.component", "hub.size", "hub.common", "hub.classes")
     )
