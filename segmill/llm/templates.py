@@ -27,23 +27,29 @@ FIELD = "<*>"
 NO_ID = -(1 << 63)
 
 
-def masked(line: Column) -> Column:
-    """The line with blanks for other white space, and a field for each token with a digit."""
-    plain = F.translate(line, "\t\x0b\x0c\r", "    ")
-    # Starts at token starts only and never goes back: linear in the line.
-    return F.when(
-        plain.rlike("[0-9]"), F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
-    ).otherwise(plain)
+def masked(text: Column) -> Column:
+    """The text with blanks for other white space in lines, and a field for each token with a digit.
+
+    Whole texts are masked at once, and only those that have something to mask.
+    """
+    plain = F.when(text.rlike(r"[\t\x0b\x0c\r]"), F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
+    # Starts at token starts only and never goes back: linear in the text.
+    field = F.regexp_replace(plain, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
+    return F.when(text.rlike("[0-9]"), field).otherwise(plain)
+
+
+def _count(text: Column, sign: str) -> Column:
+    """How often a one-byte sign stands in a text."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign), F.lit("")))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``(id, row, t, line_no, line, n_tokens, leaf)`` of lines long enough to be boilerplate."""
-    lines = docs.select("id", "row", "t", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    lines = lines.select("id", "row", "t", "line_no", masked(F.col("raw")).alias("line"))
-    n = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    return lines.withColumn("n_tokens", n).where(F.col("n_tokens") >= MIN_TOKENS).withColumn(
-        "leaf", F.xxhash64("n_tokens", F.substring_index("line", " ", LEADING))
+    lines = docs.select(
+        "id", "row", "t", F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line_no", "line")
     )
+    lines = lines.withColumn("n_tokens", _count(F.col("line"), " ") + 1).where(F.col("n_tokens") >= MIN_TOKENS)
+    return lines.withColumn("leaf", F.xxhash64("n_tokens", F.substring_index("line", " ", LEADING)))
 
 
 def _in_texts(rows: DataFrame, key: list[str], min_texts: int) -> DataFrame:
@@ -76,7 +82,9 @@ def drop_templates(
     )
     lines = _lines(docs)
     leaves = scratch.put(_in_texts(lines.select("id", "t", "leaf"), ["leaf"], min_texts).select("leaf"), "leaves")
-    found = scratch.put(lines.join(leaves, "leaf"), "found")
+    # Both sides of this join and of the last one grow with the corpus: they are
+    # merged at every size, never broadcast.
+    found = scratch.put(lines.join(leaves.hint("merge"), "leaf"), "found")
 
     # Each distinct line once, with the number of texts and the first document that have it.
     distinct = scratch.put(_in_texts(found, ["leaf", "line"], 1), "distinct")
@@ -111,7 +119,9 @@ def drop_templates(
     )
     scratch.drop("found", "distinct", "fixed", "templates")
     rows = df.drop("n_lines", "n_dropped")
-    joined = rows.withColumn("__row", row).join(dropped, F.col("__row") == F.col("__gone_row"), "left")
+    joined = rows.withColumn("__row", row).join(
+        dropped.hint("merge"), F.col("__row") == F.col("__gone_row"), "left"
+    )
     parts, lost = F.split(text_col, "\n"), F.col("__gone_lines")
     left = F.filter(
         F.transform(parts, lambda x, i: F.when(~F.array_contains(lost, i), x)), lambda x: x.isNotNull()
@@ -119,7 +129,7 @@ def drop_templates(
     text = F.when(lost.isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return joined.select(
         *[text.alias(c) if c == text_col else F.col(c) for c in rows.columns],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+        F.coalesce(_count(F.col(text_col), "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.when(lost.isNull(), 0).otherwise(F.size(lost)).cast("long").alias("n_dropped"),
     )
 
