@@ -45,7 +45,7 @@ class Vocabulary:
     right: np.ndarray
     pairs: np.ndarray           # sorted keys of two symbols that merge
     merged: np.ndarray          # rank of what they make
-    tied: np.ndarray            # ids of pieces whose rank is shared
+    tied: np.ndarray            # ids of pieces whose rank is shared or not behind their parts'
     byte_ids: np.ndarray | None  # ids of the 256 bytes, or None
     unknown: int
     alone: np.ndarray           # ASCII bytes of no piece
@@ -97,6 +97,10 @@ def vocabulary(plain: dict[str, int], scores: dict[str, float], n: int, by_byte:
             if a is not None and b is not None:
                 keys.append(a * total + b)
                 made.append(rank[i])
+    # Undoing merges latest first needs pieces to rank behind their parts.
+    early = [i for p, i in plain.items() if len(p) > 1 and left[i] != i
+             and rank[i] <= max([rank[h] for h in (left[i], right[i]) if left[h] != h], default=-1)]
+    tied = np.union1d(tied, np.array(early, dtype=np.int64))
     order_ = np.argsort(keys)
     texts = [b""] * n
     for piece, i in plain.items():
