@@ -194,9 +194,9 @@ def encode_chars(x: Column, ids_by_code_point: Column) -> Column:
     )
 
 
-def pad_ids(ids: Column, length: Column) -> Column:
-    """Right-pad with 0 up to ``length``; longer sequences stay whole."""
-    return F.concat(ids, F.array_repeat(F.lit(0), F.greatest(length - F.size(ids), F.lit(0))))
+def pad_ids(ids: Column, size: Column, length: Column) -> Column:
+    """Right-pad with 0 from ``size`` up to ``length``; longer sequences stay whole."""
+    return F.concat(ids, F.array_repeat(F.lit(0), F.greatest(length - size, F.lit(0))))
 
 
 def decode_ids(ids: Column, chars_by_id: Column) -> Column:

@@ -52,10 +52,11 @@ def vocabulary(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def ids_by_code_point(vocab: DataFrame) -> Column:
-    """The vocabulary as an array indexed by code point (a scalar subquery).
+    """The vocabulary as a constant array indexed by code point.
 
     Indexing costs the same for every alphabet, unlike a map lookup.  The array
-    ends at the highest code point, so it has at most 1.1 million entries.
+    ends at the highest code point, so it has at most 1.1 million entries; it is
+    computed when called and is part of the plan, not of the rows.
     """
     entry = F.struct(F.ascii("ch").alias("code"), "idx")
     entries = vocab.agg(F.array_sort(F.collect_list(entry)).alias("entries"))
@@ -68,13 +69,19 @@ def ids_by_code_point(vocab: DataFrame) -> Column:
 
     leading = F.array_repeat(F.lit(0), F.get(F.col("entries"), F.lit(0))["code"])
     dense = F.concat(leading, F.flatten(F.transform("entries", with_gap)))
-    return entries.select(dense.alias("ids")).scalar()
+    return _constant(entries.select(dense.alias("ids")), "array<int>")
 
 
 def chars_by_id(vocab: DataFrame) -> Column:
-    """The vocabulary's characters in id order (a scalar subquery)."""
+    """The vocabulary's characters in id order, as a constant array."""
     entries = F.array_sort(F.collect_list(F.struct("idx", "ch")))
-    return vocab.agg(F.transform(entries, lambda e: e["ch"]).alias("chars")).scalar()
+    return _constant(vocab.agg(F.transform(entries, lambda e: e["ch"]).alias("chars")), "array<string>")
+
+
+def _constant(array: DataFrame, kind: str) -> Column:
+    """The only value of a frame as a literal; an empty array for NULL."""
+    text = array.select(F.to_json(array.columns[0])).first()[0]
+    return F.from_json(F.lit(text or "[]"), kind)
 
 
 def longest(df: DataFrame, text_col: str) -> Column:
@@ -85,14 +92,16 @@ def longest(df: DataFrame, text_col: str) -> Column:
 def encode(
     df: DataFrame, text_col: str, vocab: DataFrame, out: str = "ids", pad_to: Column | None = None
 ) -> DataFrame:
-    """Add the texts' character ids, padded if ``pad_to`` is given (see ``longest``)."""
-    ids = T.encode_chars(F.col(text_col), F.col("_lookup"))
+    """Add the texts' character ids, padded if ``pad_to`` is given (see ``longest``).
+
+    The vocabulary is computed when called.
+    """
+    ids = T.encode_chars(F.col(text_col), ids_by_code_point(vocab))
     if pad_to is not None:
-        ids = T.pad_ids(ids, pad_to)
-    return df.withColumn("_lookup", ids_by_code_point(vocab)).withColumn(out, ids).drop("_lookup")
+        ids = T.pad_ids(ids, F.char_length(text_col), pad_to)
+    return df.withColumn(out, ids)
 
 
 def decode(df: DataFrame, ids_col: str, vocab: DataFrame, out: str = "text") -> DataFrame:
-    """Add the text an id sequence stands for."""
-    text = T.decode_ids(F.col(ids_col), F.col("_lookup"))
-    return df.withColumn("_lookup", chars_by_id(vocab)).withColumn(out, text).drop("_lookup")
+    """Add the text an id sequence stands for.  The vocabulary is computed when called."""
+    return df.withColumn(out, T.decode_ids(F.col(ids_col), chars_by_id(vocab)))

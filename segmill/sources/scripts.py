@@ -8,11 +8,24 @@ from pyspark.sql import functions as F
 from segmill.functions import text as T
 
 
-def read_scripts(spark: SparkSession, path: str, by: str = "file") -> DataFrame:
+# A file read as one value; larger ones would not fit a task.
+MAX_SCRIPT_BYTES = 1 << 28
+
+
+def read_scripts(
+    spark: SparkSession, path: str, by: str = "file", max_bytes: int = MAX_SCRIPT_BYTES
+) -> DataFrame:
     """``(script_id, text)`` per file, or ``(script_id, line_no, text)`` per line.
 
-    ``script_id`` is the file's path.  Line ends become a single line feed.
+    ``script_id`` is the file's path.  Line ends become a single line feed.  A
+    file is one value, as its lines are numbered in order: a file of more than
+    ``max_bytes`` is an error, found before any is read.  For lines without
+    numbers, of files of any size, see ``read_lines``.
     """
+    sizes = spark.read.format("binaryFile").load(path).select("path", "length")
+    large = sizes.where(F.col("length") > max_bytes).first()
+    if large is not None:
+        raise ValueError(f"{large['path']} has {large['length']} bytes; the limit is {max_bytes}")
     files = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("script_id"),
         T.unix_newlines(F.col("value")).alias("text"),
@@ -20,6 +33,13 @@ def read_scripts(spark: SparkSession, path: str, by: str = "file") -> DataFrame:
     return files if by == "file" else split_lines(files, "script_id", "text")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(script_id, text)`` per line, in no order: large files are split over tasks."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("script_id"), F.col("value").alias("text")
+    )
+
+
 def split_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, line_no, text)``; the empty rest after a last line end is no line."""
     parts = T.lines(F.col(text_col))
@@ -42,6 +62,10 @@ def write_statements(
     df: DataFrame, path: str, id_col: str, statements_col: str, separator: str = "\n\n",
     terminal: bool = False, mode: str = "errorifexists",
 ) -> None:
-    """Write the rendered texts, one record per script; the records have no fixed order."""
+    """Write the rendered texts, one folder ``<id_col>=<id>`` with one file per script.
+
+    Ids must be distinct, or their texts end up in one folder.
+    """
     texts = render_statements(df, id_col, statements_col, separator, terminal)
-    texts.select("text").write.mode(mode).text(path, lineSep="\n")
+    # Only files with an id of their own tell the scripts apart.
+    texts.write.mode(mode).partitionBy(id_col).text(path, lineSep="\n")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,38 +13,51 @@ from segmill.sources.config import JobConfig
 def stage_root(spark: SparkSession, cfg: JobConfig) -> str:
     """The shared folder for staged frames.
 
-    The configured folder, else the cluster's ``spark.checkpoint.dir``.  Only a
-    local session may fall back to a temporary folder: on a cluster the
-    executors would each write to a disk of their own.
+    The configured folder, else the cluster's ``spark.checkpoint.dir``, else the
+    context's checkpoint folder.  There is no other: on a cluster the executors
+    would each write to a disk of their own.
     """
     root = cfg.stage_dir or spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir (or stage_dir) to a shared folder")
-        root = _local_root()
+        raise ValueError("set spark.checkpoint.dir (or stage_dir) to a shared folder")
     return root.rstrip("/")
 
 
-@cache
-def _local_root() -> str:
-    root = tempfile.mkdtemp(prefix="segmill-stage-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+def run_folder(spark: SparkSession, cfg: JobConfig) -> str:
+    """The run's folder; it goes when the run is discarded, or else when the session ends."""
+    run, fs = _folder(spark, cfg)
+    fs.deleteOnExit(run)
+    return f"{stage_root(spark, cfg)}/{cfg.run_id}"
 
 
 def stage(df: DataFrame, cfg: JobConfig, name: str) -> DataFrame:
     """Write ``df`` under the run's folder and read it back.
 
-    Cuts the lineage, survives lost executors, and tells the optimiser the
-    frame's true size, which decides later whether it may be broadcast.
+    Cuts the lineage, survives lost executors, and gives a frame whose size can
+    be measured cheaply, which decides later whether it may be broadcast.
     """
     spark = df.sparkSession
-    path = f"{stage_root(spark, cfg)}/{cfg.run_id}/{name}"
+    path = f"{run_folder(spark, cfg)}/{name}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard_staged(spark: SparkSession, cfg: JobConfig) -> None:
     """Delete what a run has staged, once its results are written."""
+    run, fs = _folder(spark, cfg)
+    fs.delete(run, True)
+
+
+@contextmanager
+def staged_run(spark: SparkSession, cfg: JobConfig) -> Iterator[JobConfig]:
+    """A run that leaves nothing staged: write its result before the block ends."""
+    try:
+        yield cfg
+    finally:
+        discard_staged(spark, cfg)
+
+
+def _folder(spark: SparkSession, cfg: JobConfig):
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark, cfg)}/{cfg.run_id}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -5,10 +5,14 @@ import pytest
 from segmill.functions import text as T
 from segmill.plans import mining
 from segmill.sources.config import JobConfig
-from segmill.sources.scripts import read_scripts, render_statements, write_statements
-from segmill.sources.staging import discard_staged, stage, stage_root
+from segmill.sources.scripts import (
+    read_lines,
+    read_scripts,
+    render_statements,
+    write_statements,
+)
+from segmill.sources.staging import discard_staged, stage, stage_root, staged_run
 from segmill.sources.tables import as_view, read_table, sql_from_file, sql_template
-from segmill.streaming.scripts import stream_scripts
 
 CFG = JobConfig(env="dev", release="r2", layer="gold", database="${env}_segmill")
 
@@ -45,28 +49,30 @@ def test_stage_keeps_rows_and_uses_the_shared_folder(spark, tmp_path):
     assert all(f.startswith(f"file://{shared}/run/numbers/") for f in staged.inputFiles())
     discard_staged(spark, JobConfig(run_id="run"))
     assert not os.path.exists(f"{shared}/run") and os.path.exists(shared)
-    assert stage_root(spark, JobConfig(stage_dir="s3://bucket/x/")) == "s3://bucket/x"
+    assert stage_root(spark, JobConfig(stage_dir="/shared/x/")) == "/shared/x"
 
 
-class _Conf:
-    def __init__(self, **values):
-        self.values = {k.replace("__", "."): v for k, v in values.items()}
-
-    def get(self, key, default=None):
-        return self.values.get(key, default)
+def test_a_run_leaves_nothing_staged(spark):
+    cfg = JobConfig()
+    with staged_run(spark, cfg):
+        assert stage(spark.range(10).toDF("n"), cfg, "numbers").count() == 10
+    assert not os.path.exists(f"{spark.conf.get('spark.checkpoint.dir')}/{cfg.run_id}")
 
 
 class _Session:
-    def __init__(self, **values):
-        self.conf = _Conf(**values)
+    """A session that knows its checkpoint folder from the conf, the context, or not at all."""
+
+    def __init__(self, conf=None, context=None):
+        self.conf = {"spark.checkpoint.dir": conf} if conf else {}
+        self.sparkContext = self
+        self.getCheckpointDir = lambda: context
 
 
-def test_no_machine_local_folder_on_a_cluster():
+def test_a_shared_folder_is_demanded():
     with pytest.raises(ValueError):
-        stage_root(_Session(spark__master="yarn"), JobConfig())
-    assert stage_root(_Session(spark__master="yarn", spark__checkpoint__dir="hdfs:/c"),
-                      JobConfig()) == "hdfs:/c"
-    assert stage_root(_Session(spark__master="local[2]"), JobConfig())
+        stage_root(_Session(), JobConfig())
+    assert stage_root(_Session(conf="hdfs:/c"), JobConfig()) == "hdfs:/c"
+    assert stage_root(_Session(context="hdfs:/d/"), JobConfig()) == "hdfs:/d"
 
 
 @pytest.fixture
@@ -87,6 +93,14 @@ def test_read_scripts(spark, scripts):
     ]
 
 
+def test_large_files_are_an_error_not_a_cut(spark, scripts):
+    with pytest.raises(ValueError, match="a.txt"):
+        read_scripts(spark, scripts, max_bytes=20)
+    assert sorted(r.text for r in read_lines(spark, scripts).collect()) == [
+        " b)", "rest", "x.select(a,", "y.where(c);",
+    ]
+
+
 def test_render_and_write(spark, scripts, tmp_path):
     arrays = mining.extract_arrays(
         read_scripts(spark, scripts), "script_id", "text", T.normalised_blocks
@@ -95,15 +109,6 @@ def test_render_and_write(spark, scripts, tmp_path):
     assert [r.text for r in between.collect()] == ["x(a, b)", "ywhere(c);"]
     out = str(tmp_path / "out")
     write_statements(arrays, out, "script_id", "statements", ";\n\n", terminal=True)
-    written = sorted(r[0] for r in spark.read.text(out).collect() if r[0])
+    assert len([d for d in os.listdir(out) if d.startswith("script_id=")]) == 2
+    written = sorted(r[0] for r in spark.read.text(f"{out}/*").collect() if r[0])
     assert written == ["x(a, b);", "ywhere(c);;"]
-
-
-def test_stream_equals_batch(spark, scripts):
-    stream = mining.extract(stream_scripts(spark, scripts), "script_id", "text", T.method_calls)
-    query = stream.writeStream.format("memory").queryName("seen_calls").start()
-    query.processAllAvailable()
-    query.stop()
-    batch = mining.extract(read_scripts(spark, scripts), "script_id", "text", T.method_calls)
-    assert sorted(spark.table("seen_calls").collect()) == sorted(batch.collect())
-    assert batch.count() == 2

@@ -172,3 +172,13 @@ def test_empty_corpus(spark):
     assert mining.vocabulary(df, "t").isEmpty()
     assert mining.frequency(df, "t").isEmpty()
     assert mining.encode(df, "t", mining.vocabulary(df, "t")).isEmpty()
+
+
+def test_encoding_carries_no_lookup_column(spark):
+    df = spark.createDataFrame([(1, "ab😀"), (2, None)], "id int, t string")
+    vocab = mining.vocabulary(df, "t")
+    encoded = mining.encode(df, "t", vocab, pad_to=mining.longest(df, "t"))
+    text = encoded._jdf.queryExecution().optimizedPlan().toString()
+    # One row-wise step over the input: no column holds the vocabulary.
+    assert "_lookup" not in text and text.count("transform(") == 1
+    assert [r.ids for r in encoded.orderBy("id").collect()] == [[0, 1, 2], None]
