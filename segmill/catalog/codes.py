@@ -108,9 +108,9 @@ def d4_null_to_unknown(spark, sf):
 
 
 STATUSES = Derived("""
-    SELECT c_custkey AS org, CASE c_custkey % 6 WHEN 0 THEN 'UNK' WHEN 1 THEN NULL
+    SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE c_custkey + 100000000 END AS org, CASE c_custkey % 6 WHEN 0 THEN 'UNK' WHEN 1 THEN NULL
            WHEN 2 THEN '~DV' ELSE lower(c_mktsegment) END AS category
-    FROM {customer} WHERE c_acctbal > 0
+    FROM {customer}
 """)
 
 
@@ -143,16 +143,16 @@ OWN = Derived("""
     FROM {lineitem}
 """)
 PLANS = Derived("""
-    SELECT p_partkey AS plan_key,
+    SELECT CASE WHEN p_size <= 25 THEN p_partkey ELSE p_partkey + 100000000 END AS plan_key,
            CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '~01' ELSE 'pg^' || p_brand END AS grp,
            CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'NA' ELSE ' c^' || p_type END AS cat
-    FROM {part} WHERE p_size <= 25
+    FROM {part}
 """)
 PRODUCTS = Derived("""
-    SELECT s_suppkey AS product_key,
+    SELECT CASE WHEN s_acctbal > 0 THEN s_suppkey ELSE s_suppkey + 100000000 END AS product_key,
            CASE s_suppkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'NA' WHEN 2 THEN '~NA'
                 ELSE 's^' || s_name END AS grp
-    FROM {supplier} WHERE s_acctbal > 0
+    FROM {supplier}
 """)
 
 
@@ -201,9 +201,9 @@ def d8_plan_category(spark, sf):
 
 
 NETWORKS = Derived("""
-    SELECT p_partkey AS offering, CASE p_partkey % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL
+    SELECT CASE WHEN p_size > 10 THEN p_partkey ELSE p_partkey + 100000000 END AS offering, CASE p_partkey % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN NULL
            ELSE 'net^' || p_brand END AS network
-    FROM {part} WHERE p_size > 10
+    FROM {part}
 """)
 
 
@@ -261,9 +261,9 @@ def d11_original_service_type(spark, sf):
 
 
 PACKAGES = Derived("""
-    SELECT s_suppkey AS ref_key, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Y' END AS by_id,
+    SELECT CASE WHEN s_acctbal > 1000 THEN s_suppkey ELSE s_suppkey + 100000000 END AS ref_key, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Y' END AS by_id,
            CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'Y' END AS by_number
-    FROM {supplier} WHERE s_acctbal > 1000
+    FROM {supplier}
 """)
 
 
@@ -300,9 +300,9 @@ OVERRIDES = Derived("""
     FROM {lineitem}
 """)
 ADMINS = Derived("""
-    SELECT p_partkey AS product_key, CASE p_partkey % 4 WHEN 0 THEN 'UNK' WHEN 1 THEN 'LUM'
+    SELECT CASE WHEN p_size > 5 THEN p_partkey ELSE p_partkey + 100000000 END AS product_key, CASE p_partkey % 4 WHEN 0 THEN 'UNK' WHEN 1 THEN 'LUM'
            WHEN 2 THEN NULL ELSE 'ABC' END AS admin
-    FROM {part} WHERE p_size > 5
+    FROM {part}
 """)
 _EXCLUDED = sql_list(rules.OverrideRule().excluded_products)
 
@@ -357,12 +357,12 @@ MONTHLY = Derived("""
     SELECT o_orderkey, o_custkey, last_day(CAST(o_orderdate AS DATE)) AS month_end FROM {orders}
 """)
 LINKS = Derived("""
-    SELECT o_custkey AS related, last_day(CAST(o_orderdate AS DATE)) AS month_end,
+    SELECT CASE WHEN o_orderstatus <> 'F' THEN o_custkey ELSE o_custkey + 100000000 END AS related, last_day(CAST(o_orderdate AS DATE)) AS month_end,
            CASE o_orderkey % 4 WHEN 0 THEN '06 ' WHEN 1 THEN '02' WHEN 2 THEN NULL
                 ELSE ' 06' END AS kind,
            CASE o_orderkey % 9 WHEN 0 THEN NULL
                 ELSE 'o^' || CAST(o_orderkey AS STRING) END AS org
-    FROM {orders} WHERE o_orderstatus <> 'F'
+    FROM {orders}
 """)
 
 
@@ -397,8 +397,8 @@ def d15_client_id(spark, sf):
 
 
 ROLLUPS = Derived("""
-    SELECT r_name AS funding, CASE r_regionkey % 3 WHEN 0 THEN NULL ELSE lower(r_name) END AS rollup_cd
-    FROM {region} WHERE r_regionkey < 4
+    SELECT CASE WHEN r_regionkey < 4 THEN r_name ELSE r_name || '+' END AS funding, CASE r_regionkey % 3 WHEN 0 THEN NULL ELSE lower(r_name) END AS rollup_cd
+    FROM {region}
 """)
 FUNDED = Derived("""
     SELECT n_nationkey, CASE WHEN n_nationkey % 6 = 0 THEN NULL ELSE r_name END AS funding_cd

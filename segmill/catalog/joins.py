@@ -35,9 +35,9 @@ def j1_filtered_inner(spark, sf):
 
 
 KNOWN = Derived("""
-    SELECT c_custkey AS known_key,
+    SELECT CASE WHEN c_acctbal > 2000 THEN c_custkey ELSE c_custkey + 100000000 END AS known_key,
            CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS level
-    FROM {customer} WHERE c_acctbal > 2000
+    FROM {customer}
 """)
 
 
@@ -113,10 +113,11 @@ MONTHLY_ITEMS = Derived("""
     FROM {lineitem}
 """)
 MONTHLY_DEPARTMENTS = Derived("""
-    SELECT CAST(l_orderkey AS STRING) AS member, CAST(l_suppkey % 3 AS STRING) AS source,
+    SELECT CAST(l_orderkey AS STRING) || CASE WHEN l_linestatus = 'O' THEN '' ELSE '+' END AS member,
+           CAST(l_suppkey % 3 AS STRING) AS source,
            CAST(l_suppkey AS STRING) AS org, last_day(CAST(l_shipdate AS DATE)) AS month_end,
            max(l_returnflag) AS department
-    FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY 1, 2, 3, 4
+    FROM {lineitem} GROUP BY 1, 2, 3, 4
 """)
 
 
