@@ -44,7 +44,7 @@ HUBS = 4
 # Shingles are counted by this many classes to bound what two texts share.
 CLASSES = 64
 NO_ID = -(1 << 63)
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 PAIRS_PER_TEXT = 4
 
 
