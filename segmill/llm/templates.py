@@ -2,7 +2,10 @@
 
 A line falls into a leaf of a fixed-depth tree by its number of tokens and its
 leading tokens.  Inside a leaf, variable fields are generalised: a token with a
-digit is a field, and so is a token that stands at its place in too few texts.
+digit is a field, and so is a token that stands at its place in a small share of
+the leaf's texts, however many texts there are.  Where that would leave too few
+fixed tokens, only tokens in too few texts are fields, so that a line found often
+enough as it is stays a template of its own beside many others in its leaf.
 Lines that are alike but for their fields share a template.  A template found in
 enough different texts is boilerplate: its lines stay in the first document that
 has it and are dropped elsewhere.
@@ -22,6 +25,7 @@ MIN_TEXTS = 5      # different texts that make a template boilerplate
 LEADING = 3        # depth of the tree below the token count
 MIN_TOKENS = 3     # shorter lines are never dropped
 FIXED_TOKENS = 0.5  # share of tokens that must not be fields
+FIELD_SHARE = 0.05  # of a leaf's texts: a rarer token is a field at its place
 
 FIELD = "<*>"
 NO_ID = -(1 << 63)
@@ -81,28 +85,41 @@ def drop_templates(
         F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"),
     )
     lines = _lines(docs)
-    leaves = scratch.put(_in_texts(lines.select("id", "t", "leaf"), ["leaf"], min_texts).select("leaf"), "leaves")
+    leaves = scratch.put(
+        _in_texts(lines.select("id", "t", "leaf"), ["leaf"], min_texts).select("leaf", F.col("n").alias("leaf_texts")),
+        "leaves",
+    )
     # Both sides of this join and of the last one grow with the corpus: they are
     # merged at every size, never broadcast.
-    found = scratch.put(lines.join(leaves.hint("merge"), "leaf"), "found")
+    found = scratch.put(lines.join(leaves.select("leaf").hint("merge"), "leaf"), "found")
 
     # Each distinct line once, with the number of texts and the first document that have it.
     distinct = scratch.put(_in_texts(found, ["leaf", "line"], 1), "distinct")
     tokens = distinct.select("leaf", "line", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
     fixed = scratch.put(
         tokens.where(F.col("token") != FIELD).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("in_texts"))
-        .where(F.col("in_texts") >= min_texts).select("leaf", "pos", "token", F.lit(True).alias("fixed")),
+        .where(F.col("in_texts") >= min_texts).join(leaves.hint("merge"), "leaf")
+        .select(
+            "leaf", "pos", "token", F.lit(True).alias("fixed"),
+            F.when(F.col("in_texts") >= FIELD_SHARE * F.col("leaf_texts"), True).alias("common"),
+        ),
         "fixed",
     )
-    place = F.struct("pos", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD).alias("token"))
+    place = F.struct(
+        "pos", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD).alias("fixed"),
+        F.when(F.col("common"), F.col("token")).otherwise(FIELD).alias("common"),
+    )
+    enough = FIXED_TOKENS * F.col("n_tokens")
+    # Lines alike by their fixed tokens are alike by their common ones: none is split.
+    template = F.when(F.col("n_common") >= enough, F.col("places.common")).otherwise(F.col("places.fixed"))
     general = (
         tokens.join(fixed, ["leaf", "pos", "token"], "left")
         .groupBy("leaf", "line").agg(
             F.array_sort(F.collect_list(place)).alias("places"), F.count("fixed").alias("n_fixed"),
-            F.count(F.lit(1)).alias("n_tokens"),
+            F.count("common").alias("n_common"), F.count(F.lit(1)).alias("n_tokens"),
         )
-        .where(F.col("n_fixed") >= FIXED_TOKENS * F.col("n_tokens"))
-        .select("leaf", "line", F.array_join("places.token", " ").alias("template"))
+        .where(F.col("n_fixed") >= enough)
+        .select("leaf", "line", F.array_join(template, " ").alias("template"))
     )
     templates = scratch.put(general.join(distinct, ["leaf", "line"]), "templates")
     recurring = templates.groupBy("leaf", "template").agg(

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -159,6 +160,29 @@ def test_templates_drop_recurring_lines(odd, nothing):
     assert templates.drop_templates(nothing).count() == 0
 
 
+def two_field_lines(spark, n):
+    """Documents with one line of a template of two fields, of 676 words each."""
+    rng = random.Random(5)
+    two = lambda: rng.choice(string.ascii_lowercase) + rng.choice(string.ascii_lowercase)
+    rows = [(i, f"own text w{i}\nPosted by user {two()} from town {two()} this morning") for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_templates_with_fields_are_found_at_every_size(spark):
+    for n in (100, 10_000):
+        out = templates.drop_templates(two_field_lines(spark, n))
+        gone = out.where(~F.contains("text", F.lit("Posted by"))).count()
+        assert gone == n - 1, (n, gone)
+
+
+def test_templates_keep_frequent_lines_of_a_crowded_leaf(spark):
+    # Each line is in 6 of 240 texts: under the share, yet a template of its own.
+    words = [c * 3 for c in string.ascii_lowercase] + [c * 4 for c in string.ascii_lowercase[:14]]
+    rows = [(i, f"a b c {' '.join(w + k for k in 'uvwxyz')}\nown{i}") for i, w in enumerate(words * 6)]
+    out = templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.where("n_dropped = 1").count() == 200 and out.where("doc_id < 40 and n_dropped > 0").isEmpty()
+
+
 def test_mixing_meets_targets(spark, odd, nothing):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(1, 60), rng.choice("abc"), rng.choice(["x", "x", "x", "y"])) for i in range(4000)]
