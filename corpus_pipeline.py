@@ -37,7 +37,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample in which sources, languages and topics meet their target shares."""
+    """A sample in which sources, languages and topics meet their target shares, as far as they have the tokens."""
     rows = docs.select(*COLUMNS).withColumn("_topic", mixing.topic_of(F.col("text")))
     powers = {"source": EXPONENTS["source"], "lang": EXPONENTS["lang"], "_topic": EXPONENTS["topic"]}
     return mixing.mix(rows, powers, TOKEN_BUDGET).where("kept").select(*COLUMNS)

@@ -3,8 +3,8 @@
 Documents fall into cells of (source, language, topic).  Cells are few, whatever
 the number of documents: all the fitting works on them.  Starting from the tokens
 of each cell, weights are raked to the target share of every source, language
-and topic in turn.  Documents are then sampled with their cell's probability,
-calibrated so that the expected tokens meet a budget.
+and topic in turn, with no cell above its tokens.  Documents are then sampled with
+their cell's probability, calibrated so that the expected tokens meet a budget.
 """
 
 from __future__ import annotations
@@ -18,6 +18,12 @@ from segmill.llm.base import Scratch
 
 SWEEPS = 12
 
+# Under the bound, rounds of sweeps go on until no margin misses its target by
+# more than this share of the budget, or the rounds are over: targets that each
+# can be met need not be so together.  ``margins`` tells what was achieved.
+RESIDUAL = 1e-6
+ROUNDS = 4
+
 # Up to this many cells are fitted in one partition, where windows need no
 # shuffle, and are broadcast to the documents.  The rows do not depend on it.
 FEW_CELLS = 100_000
@@ -45,13 +51,23 @@ def _total(x: Column, *by: str) -> Column:
     return F.sum(x).over(Window.partitionBy(*(by or (F.lit(1),))))
 
 
-def with_targets(cells: DataFrame, exponents: Mapping[str, float]) -> DataFrame:
+def with_targets(cells: DataFrame, exponents: Mapping[str, float | Mapping[str | None, float]]) -> DataFrame:
     """Add ``t_<dimension>``: each value's target share, proportional to its tokens to a power.
 
     An exponent of 1 keeps the shares, 0 makes them equal; between them rare
-    values gain and none vanishes.
+    values gain and none vanishes.  Instead of an exponent, a dimension can have
+    a weight for each value; others weigh nothing.
     """
     for d, power in exponents.items():
+        if isinstance(power, Mapping):
+            given = cells.sparkSession.createDataFrame(
+                [(NONE if v is None else str(v), float(w)) for v, w in power.items()], f"`{d}` string, __weight double"
+            )
+            cells = cells.join(F.broadcast(given), d, "left").withColumn("__weight", F.coalesce("__weight", F.lit(0.0)))
+            each = F.col("__weight") * F.col("tokens") / _total(F.col("tokens"), d)
+            cells = cells.withColumn("__each", each)
+            cells = cells.withColumn(f"t_{d}", F.col("__weight") / _total(F.col("__each"))).drop("__weight", "__each")
+            continue
         cells = cells.withColumn(f"m_{d}", _total(F.col("tokens"), d))
         # A value's cells share its power by their tokens, so that the sum has each value once.
         each = F.pow(F.col(f"m_{d}"), F.lit(float(power)))
@@ -80,12 +96,87 @@ def calibrate(cells: DataFrame, dimensions: Sequence[str], budget: float) -> Dat
     before = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     spend = F.lit(float(budget)) * _total(F.col("tokens"))
-    cells = cells.withColumns({"scale": (spend - before) / rest, "place": F.row_number().over(order)})
+    scale = (spend - before) / F.nullif(rest, F.lit(0.0))
+    cells = cells.withColumns({"scale": scale, "place": F.row_number().over(order)})
     fits = F.when(F.col("scale") * F.col("ratio") <= 1, F.col("place"))
     cells = cells.withColumn("taken", F.min(fits).over(Window.partitionBy(F.lit(1))))
     scale = F.max(F.when(F.col("place") == F.col("taken"), F.col("scale"))).over(Window.partitionBy(F.lit(1)))
-    # Where no number fits, the budget covers all cells.
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.coalesce(scale * F.col("ratio"), F.lit(1.0))))
+    # Where no number fits, the budget covers all cells that weigh anything.
+    chance = F.least(F.lit(1.0), F.coalesce(scale * F.col("ratio"), F.lit(1.0)))
+    return cells.withColumn("probability", F.when(F.col("weight") > 0, chance).otherwise(0.0))
+
+
+def reachable(cells: DataFrame, dimensions: Sequence[str], budget: float) -> DataFrame:
+    """Add ``r_<dimension>``: the tokens to take of each value.
+
+    These are the target shares of the budget, but no more than there is: what a
+    value lacks goes to the dimension's others by their shares.
+    """
+    for d in dimensions:
+        margin = cells.groupBy(d).agg(F.sum("tokens").alias("tokens"), F.max(f"t_{d}").alias("weight"))
+        margin = calibrate(margin, [d], budget)
+        cells = cells.join(margin.select(d, (F.col("probability") * F.col("tokens")).alias(f"r_{d}")), d)
+    return cells
+
+
+def rake_within(cells: DataFrame, dimensions: Sequence[str], sweeps: int = SWEEPS) -> DataFrame:
+    """``weight`` raked to ``r_<dimension>``, where a cell counts by its tokens at most.
+
+    Cells at their bound stay there while the open ones are scaled to what is
+    left; a value whose bounded cells alone have too much is scaled as a whole.
+    """
+    full = F.col("weight") >= F.col("tokens")
+    for d in dimensions * sweeps:
+        bound = _total(F.when(full, F.col("tokens")).otherwise(0).cast("double"), d)
+        free = _total(F.when(full, 0.0).otherwise(F.col("weight")), d)
+        cells = cells.withColumns({"__bound": bound, "__free": free})
+        left = F.col(f"r_{d}") - F.col("__bound")
+        factor = F.when((F.col("__free") > 0) & (left > 0), left / F.nullif("__free", F.lit(0.0))).otherwise(
+            F.col(f"r_{d}") / F.nullif(F.col("__bound") + F.col("__free"), F.lit(0.0))
+        )
+        cells = cells.withColumn("weight", F.col("weight") * F.coalesce(factor, F.lit(1.0))).drop("__bound", "__free")
+    return cells
+
+
+def fit_within(
+    cells: DataFrame, dimensions: Sequence[str], budget: float, scratch: Scratch, few: bool, sweeps: int = SWEEPS
+) -> DataFrame:
+    """Add ``probability``, so that margins meet their targets as far as there are tokens."""
+    dimensions = list(dimensions)
+    cells = reachable(cells, dimensions, budget).withColumn("weight", F.lit(float(budget)) * F.col("tokens"))
+    taken = F.least(F.col("weight"), F.col("tokens").cast("double"))
+    for k in range(ROUNDS):
+        cells = rake_within(cells.coalesce(1) if few else cells, dimensions, sweeps)
+        misses = [F.abs(_total(taken, d) - F.col(f"r_{d}")) for d in dimensions]
+        cells = cells.withColumn("miss", F.greatest(F.lit(0.0), *misses))
+        cells = scratch.put(cells, f"round-{k}")
+        miss, tokens = cells.agg(F.max("miss"), F.sum("tokens")).first()
+        if miss is None or miss <= RESIDUAL * budget * tokens:
+            break
+    cells = cells.withColumn("weight", taken)
+    return calibrate(cells.coalesce(1) if few else cells, dimensions, budget)
+
+
+def margins(mixed: DataFrame, exponents: Mapping[str, float | Mapping[str | None, float]]) -> DataFrame:
+    """Each value's shares of the tokens in what ``mix`` returned.
+
+    ``(dimension, value, tokens, target, expected, drawn)``: all its tokens, its
+    target share, and its shares of the expected and of the drawn tokens.
+    """
+    cells = mixed.groupBy(*[_name(d).alias(d) for d in exponents]).agg(
+        F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("probability")).alias("expected"),
+        F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("drawn"),
+    ).where("tokens > 0")
+    cells = with_targets(cells, exponents)
+    for x in ("expected", "drawn"):
+        cells = cells.withColumn(x, F.col(x) / F.nullif(_total(F.col(x)).cast("double"), F.lit(0.0)))
+    value = F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"), F.col(f"t_{d}").alias("target")) for d in exponents
+    ]))
+    return cells.select(value.alias("v"), "tokens", "expected", "drawn").groupBy("v.dimension", "v.value").agg(
+        F.sum("tokens").alias("tokens"), F.max("v.target").alias("target"),
+        F.sum("expected").alias("expected"), F.sum("drawn").alias("drawn"),
+    ).withColumn("value", F.nullif("value", F.lit(NONE)))
 
 
 def draw(key: Column) -> Column:
@@ -94,14 +185,16 @@ def draw(key: Column) -> Column:
 
 
 def mix(
-    df: DataFrame, exponents: Mapping[str, float], budget: float, id_col: str = "doc_id",
-    text_col: str = "text", sweeps: int = SWEEPS,
+    df: DataFrame, exponents: Mapping[str, float | Mapping[str | None, float]], budget: float,
+    id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, bounded: bool = True,
 ) -> DataFrame:
     """``df`` with ``n_tokens``, ``probability`` and ``kept``.
 
     ``exponents`` maps dimensions (columns of ``df``) to the power that makes
-    their target shares (see ``with_targets``); ``budget`` is the share of all
-    tokens to keep in expectation.  Whether a document is kept depends on its id,
+    their target shares, or to weights by value (see ``with_targets``); ``budget``
+    is the share of all tokens to keep in expectation.  Values with too few tokens
+    for their target are kept whole (see ``reachable``).  If not ``bounded``, cells
+    are cut to probability 1 after the raking, which loses the targets.  Whether a document is kept depends on its id,
     and on its text where the id is null; a copy of a row shares its fate.
 
     A missing source, language or topic is a value of its own.  A cell without
@@ -118,7 +211,10 @@ def mix(
     cells = scratch.put(counted.where("tokens > 0"), "cells")
     few = cells.limit(FEW_CELLS + 1).count() <= FEW_CELLS
     fitted = with_targets(cells.coalesce(1) if few else cells, exponents)
-    fitted = calibrate(rake(fitted, names, sweeps), names, budget)
+    if bounded:
+        fitted = fit_within(fitted, names, budget, scratch, few, sweeps)
+    else:
+        fitted = calibrate(rake(fitted, names, sweeps), names, budget)
     chances = scratch.put(fitted.select(*[F.col(d).alias(f"__mix_{d}") for d in names], "probability"), "chances")
     if few:
         chances = F.broadcast(chances.coalesce(1))

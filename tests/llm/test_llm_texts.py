@@ -207,6 +207,23 @@ def test_mixing_meets_targets(spark, odd, nothing):
     assert mixing.mix(nothing, {"source": 0.5}, 0.5).count() == 0
 
 
+def test_mixing_meets_targets_where_cells_are_bounded(spark):
+    # Source c has fewer tokens than its target; the others' cells differ by language.
+    sizes = {("a", "x"): 900, ("a", "y"): 60, ("b", "x"): 300, ("b", "y"): 300, ("c", "x"): 40, ("c", "y"): 60}
+    rows = [("w " * 10, s, g) for (s, g), n in sizes.items() for _ in range(n)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string, lang string")
+    goals = {"source": 0.0, "lang": 0.0}
+    got = {(r.dimension, r.value): r for r in mixing.margins(mixing.mix(docs, goals, 0.4), goals).collect()}
+    c = 100 / (0.4 * 1660)
+    expect = {("source", "a"): (1 - c) / 2, ("source", "b"): (1 - c) / 2, ("source", "c"): c, ("lang", "x"): 0.5, ("lang", "y"): 0.5}
+    assert {k: round(r.expected, 4) for k, r in got.items()} == {k: round(v, 4) for k, v in expect.items()}
+    assert abs(got["source", "c"].target - 1 / 3) < 1e-9 and got["source", "c"].tokens == 1000
+    weights = {"source": {"a": 3.0, "b": 1.0}, "lang": 1.0}
+    out = mixing.mix(docs, weights, 0.2)
+    got = {(r.dimension, r.value): r for r in mixing.margins(out, weights).collect()}
+    assert abs(got["source", "a"].expected - 0.75) < 1e-4 and got["source", "c"].expected == 0
+
+
 def test_toxicity_folding_and_exceptions(spark, odd, nothing):
     for hidden in ("1d1ot", "ІDIOT", "idi​ot", "!d!0t", "ｉｄｉｏｔ"):
         assert toxicity.fold(hidden) == toxicity.fold("idiot"), hidden
