@@ -93,11 +93,25 @@ def drop_templates(
     # merged at every size, never broadcast.
     found = scratch.put(lines.join(leaves.select("leaf").hint("merge"), "leaf"), "found")
 
-    # Each distinct line once, with the number of texts and the first document that have it.
-    distinct = scratch.put(_in_texts(found, ["leaf", "line"], 1), "distinct")
+    # A text's lines in a leaf.  Where there is one, numbers of texts add up over
+    # lines; texts with several are counted for themselves.
+    texts = scratch.put(
+        found.groupBy("leaf", "t").agg(F.min("id").alias("id"), F.collect_set("line").alias("lines")), "texts"
+    )
+    several = texts.where(F.size("lines") > 1).select("leaf", "t", F.explode("lines").alias("line"))
+    # Each distinct line once, with the number of texts that have no other one in
+    # its leaf, and the first document that has it.
+    distinct = scratch.put(
+        texts.select("leaf", "id", (F.size("lines") == 1).cast("long").alias("alone"), F.explode("lines").alias("line"))
+        .groupBy("leaf", "line").agg(F.sum("alone").alias("n"), F.min("id").alias("first_id")),
+        "distinct",
+    )
     tokens = distinct.select("leaf", "line", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
+    tokens_of_several = several.select("leaf", "t", F.posexplode(F.split("line", " ")).alias("pos", "token")).distinct()
     fixed = scratch.put(
-        tokens.where(F.col("token") != FIELD).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("in_texts"))
+        tokens.select("leaf", "pos", "token", "n")
+        .unionByName(tokens_of_several.select("leaf", "pos", "token", F.lit(1).cast("long").alias("n")))
+        .where(F.col("token") != FIELD).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("in_texts"))
         .where(F.col("in_texts") >= min_texts).join(leaves.hint("merge"), "leaf")
         .select(
             "leaf", "pos", "token", F.lit(True).alias("fixed"),
@@ -122,7 +136,13 @@ def drop_templates(
         .select("leaf", "line", F.array_join(template, " ").alias("template"))
     )
     templates = scratch.put(general.join(distinct, ["leaf", "line"]), "templates")
-    recurring = templates.groupBy("leaf", "template").agg(
+    templates_of_several = (
+        several.join(templates.select("leaf", "line", "template").hint("merge"), ["leaf", "line"])
+        .select("leaf", "t", "template").distinct()
+        .select("leaf", "template", F.lit(1).cast("long").alias("n"), F.lit(None).cast("long").alias("first_id"))
+    )
+    counted = templates.select("leaf", "template", "n", "first_id").unionByName(templates_of_several)
+    recurring = counted.groupBy("leaf", "template").agg(
         F.sum("n").alias("n_texts"), F.min("first_id").alias("kept_in")
     ).where(F.col("n_texts") >= min_texts)
     gone = scratch.put(
@@ -134,7 +154,7 @@ def drop_templates(
         .groupBy(F.col("row").alias("__gone_row")).agg(gone_lines),
         "dropped",
     )
-    scratch.drop("found", "distinct", "fixed", "templates")
+    scratch.drop("found", "texts", "distinct", "fixed", "templates")
     rows = df.drop("n_lines", "n_dropped")
     joined = rows.withColumn("__row", row).join(
         dropped.hint("merge"), F.col("__row") == F.col("__gone_row"), "left"

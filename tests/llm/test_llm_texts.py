@@ -183,6 +183,15 @@ def test_templates_keep_frequent_lines_of_a_crowded_leaf(spark):
     assert out.where("n_dropped = 1").count() == 200 and out.where("doc_id < 40 and n_dropped > 0").isEmpty()
 
 
+def test_templates_count_a_text_once(spark):
+    # Six lines of one template, but in two texts only; the leaf itself is in six.
+    one, two = ("red", "blue", "green"), ("pink", "teal", "gray")
+    rows = [(i, "\n".join(f"a b c {w} d e f" for w in ws)) for i, ws in enumerate((one, two))]
+    rows += [(i, f"a b c p{chr(97 + i)} q r s") for i in range(2, 6)]
+    out = templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.where("doc_id < 2 and n_dropped > 0").isEmpty()
+
+
 def test_mixing_meets_targets(spark, odd, nothing):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(1, 60), rng.choice("abc"), rng.choice(["x", "x", "x", "y"])) for i in range(4000)]
