@@ -16,6 +16,7 @@ from segmill.llm import (
     substrings,
     templates,
     toxicity,
+    whitening,
 )
 from segmill.llm.base import REGISTRY, check, table
 from segmill.llm.training import held_out
@@ -192,3 +193,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one."""
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@check()
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 16 components of largest variance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 16)
