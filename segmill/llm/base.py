@@ -38,7 +38,8 @@ class Scratch:
 
     ``put`` writes a frame and reads it back: the lineage is cut, and a lost
     executor costs no recomputation.  ``drop`` deletes a table that no later
-    frame reads; what is left goes when the session's file systems close.
+    frame reads, ``keep_only`` all but those that the result still reads; these go
+    when the session's file systems close.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -57,6 +58,13 @@ class Scratch:
             path, fs = self._at(f"{self.path}/{name}")
             fs.delete(path, True)
 
+    def keep_only(self, *names: str) -> None:
+        """Delete every table of the run but these."""
+        path, fs = self._at(self.path)
+        for entry in fs.listStatus(path) if fs.exists(path) else []:
+            if entry.getPath().getName() not in names:
+                fs.delete(entry.getPath(), True)
+
     def _at(self, path: str):
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop, hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())

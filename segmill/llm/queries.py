@@ -9,6 +9,7 @@ from segmill.llm import (
     hnsw,
     minhash,
     mixing,
+    neardup,
     pieces,
     quality,
     rules,
@@ -195,6 +196,30 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+@check("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+), n AS (
+  SELECT x, count(*) AS n_links FROM link GROUP BY x
+), c AS (
+  SELECT x, min(y) AS least FROM reach GROUP BY x
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
+  vec_id <= coalesce(c.least, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id
+""")
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's near duplicates of its label, and their component."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 @check()
 def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the 16 components of largest variance, whitened."""
