@@ -16,6 +16,7 @@ import numpy as np
 POINTS = 8          # quadrature points on the upper half of a circle
 IN_INTERVAL = 8     # eigenvalues in an interval, unless they cannot be told apart
 ROUNDS = 40
+SPREAD = 8          # an interval's end is at most so many times its start
 TIGHTEN = 10        # steps by which an interval's ends move inwards
 PIVOT = (1 + 17 ** 0.5) / 8
 
@@ -59,15 +60,19 @@ def _edge(a: np.ndarray, end: float, other: float, n: int) -> float:
 
 
 def intervals(a: np.ndarray, low: float, high: float, n_low: int, n_high: int, least: float):
-    """``(low, high, count)`` with few eigenvalues each; ``n_low``, ``n_high``: eigenvalues below the ends."""
+    """``(low, high, count)`` with few eigenvalues of one order of size each.
+
+    ``n_low``, ``n_high``: eigenvalues below the ends, which are positive.  A circle
+    much wider than the small eigenvalues in it would not tell them from those outside.
+    """
     if n_high == n_low:
         return
-    if n_high - n_low <= IN_INTERVAL or high - low <= least:
+    if (n_high - n_low <= IN_INTERVAL and high <= SPREAD * low) or high - low <= least:
         # Closer to the eigenvalues inside, so that those outside are far from the circle.
         inner, outer = _edge(a, low, high, n_low), _edge(a, high, low, n_high)
         yield inner, outer, n_high - n_low
         return
-    middle = (low + high) / 2
+    middle = (low * high) ** 0.5 if high > 4 * low else (low + high) / 2
     n = below(a, middle)
     yield from intervals(a, low, middle, n_low, n, least)
     yield from intervals(a, middle, high, n, n_high, least)

@@ -250,7 +250,7 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    cap = max(256, min(SHARD_ROWS, SHARD_BYTES // (8 * max(1, d))))
+    cap = max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * max(1, d))))
     shards = scratch.put(
         nodes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / cap).cast("int").alias("shards")), "shards"
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmill.llm import (
+    hardneg,
     hnsw,
     minhash,
     mixing,
@@ -198,9 +199,9 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("""
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-  WHERE label IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), link AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
   ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
@@ -224,3 +225,29 @@ def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector on the 16 components of largest variance, whitened."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"), 16)
+
+
+@check("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT AS rank
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector, a seventh of the labels being shifted."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hardneg.mine(rows, F.col("vec_id") % 100 == 0)

@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
 
 
 def test_the_rest_imports_without_the_subpackage(tmp_path):
