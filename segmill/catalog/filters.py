@@ -8,7 +8,7 @@ from pyspark.sql import types as TY
 from segmill.catalog.base import Derived, check, table
 from segmill.operators import filters as flt
 from segmill.operators.schema import conform, with_audit
-from segmill.operators.sets import group_max, union_bag, union_set
+from segmill.operators.sets import distinct_rows, group_max, union_bag, union_set
 from segmill.operators.windows import partition_max
 from segmill.sources.config import JobConfig
 
@@ -172,6 +172,17 @@ def a1_full_row_distinct(spark, sf):
     )
 
 
+@check("SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM (" + " UNION ".join(
+    f"SELECT * FROM lineitem WHERE {w}" for w in ("l_returnflag = 'A'", "l_returnflag <> 'R'", "l_linenumber = 1")
+) + ")")
+def a1_distinct_by_fingerprint(spark, sf):
+    """Whole rows of overlapping slices, each once: only repeated ones are shuffled whole."""
+    items = table(spark, sf, "lineitem")
+    slices = [items.where(w) for w in ("l_returnflag = 'A'", "l_returnflag <> 'R'", "l_linenumber = 1")]
+    rows = distinct_rows(union_bag(*slices), JobConfig())
+    return rows.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
+
+
 @check(
     "SELECT l_partkey, l_suppkey, CAST(max(CAST(l_shipdate AS DATE)) AS VARCHAR) AS last_ship "
     "FROM lineitem GROUP BY l_partkey, l_suppkey"

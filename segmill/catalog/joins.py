@@ -8,7 +8,7 @@ from segmill.catalog.base import Derived, check, table
 from segmill.functions.rules import when_matched
 from segmill.operators.filters import where_code, where_in
 from segmill.operators.joins import bounded_broadcast, duplicate_keys, left_lookup
-from segmill.operators.months import month_ends, value_range
+from segmill.operators.months import month_ends, period_lookup, value_range
 
 NATIONS = Derived("""
     SELECT n_nationkey, ' ' || n_name || ' ' AS name, n_regionkey,
@@ -85,7 +85,7 @@ def j4_one_sided_trim(spark, sf):
     "SELECT l_orderkey, l_linenumber, p_brand, s_name, o_orderstatus FROM lineitem "
     "LEFT JOIN part ON l_partkey = p_partkey AND l_linenumber = p_size "
     "LEFT JOIN supplier ON l_suppkey = s_suppkey "
-    "LEFT JOIN orders ON l_orderkey = o_orderkey AND o_totalprice > 200000"
+    "LEFT JOIN orders ON l_orderkey = o_orderkey"
 )
 def j5_left_chain(spark, sf):
     rows = table(spark, sf, "lineitem").select(
@@ -100,7 +100,7 @@ def j5_left_chain(spark, sf):
         on=[("l_suppkey", "s_suppkey")], take={"s_name": "s_name"},
     )
     rows = left_lookup(
-        rows, table(spark, sf, "orders").where("o_totalprice > 200000"),
+        rows, table(spark, sf, "orders"),
         on=[("l_orderkey", "o_orderkey")], take={"o_orderstatus": "o_orderstatus"},
     )
     return rows.drop("l_partkey", "l_suppkey")
@@ -216,3 +216,21 @@ def j10_open_ended_periods(spark, sf):
         take={"network": "network"},
     )
     return rows.select("l_orderkey", "l_linenumber", "network")
+
+
+@check(
+    "SELECT l_orderkey, l_linenumber, network FROM lineitem "
+    f"LEFT JOIN {PERIODS.sql} ON l_partkey = p_partkey "
+    "AND last_day(CAST(l_shipdate AS DATE)) BETWEEN starts AND ends"
+)
+def j10_period_lookup(spark, sf):
+    """The same periods looked up without a row per month."""
+    items = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.last_day(F.to_date("l_shipdate")).alias("month_end"),
+    )
+    rows = period_lookup(
+        items, PERIODS.df(spark, sf), [("l_partkey", "p_partkey")], "month_end", "starts", "ends",
+        {"network": "network"}, calendar=value_range(items, "month_end"),
+    )
+    return rows.select("l_orderkey", "l_linenumber", "network")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from segmill.catalog.base import Derived, check, text_table
 from segmill.functions import text as T
-from segmill.plans import mining
+from segmill.plans import mining, split_texts
+from segmill.sources.config import JobConfig
 
 # Script-like texts: the prose gets method calls, quotes, comments and ends of
 # statements by fixed replacements.
@@ -168,6 +169,30 @@ def t4_scanned_pages(spark, sf):
     return mining.extract(text_table(spark, sf, "pages"), "page_id", "html", T.scan_statements)
 
 
+@check(_scan_sql("pages", "page_id", "html"))
+def t4_scanned_pieces(spark, sf):
+    """Every page cut anywhere into pieces, which are scanned by themselves."""
+    pieces = split_texts.cut_texts(text_table(spark, sf, "pages"), "page_id", "html", 700)
+    return split_texts.scan_statements(pieces, "page_id", JobConfig())
+
+
+@check(_blocks_sql(SCRIPTS.sql, "doc_id", T.BLOCK_KEYWORDS, RAW_BLOCK))
+def t2_blocks_of_pieces(spark, sf):
+    """Line blocks that may cross the cuts between pieces of whole lines."""
+    pieces = split_texts.cut_at_lines(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", 500)
+    return split_texts.line_blocks(pieces, "doc_id", JobConfig())
+
+
+@check(
+    f"SELECT doc_id, pos, CASE WHEN contains(q, 'val ') THEN trim(string_split(q, '=')[-1]) "
+    f"ELSE q END AS statement FROM (SELECT doc_id, pos, {_NORMAL} AS q FROM "
+    f"({_blocks_sql(SCRIPTS.sql, 'doc_id', T.BLOCK_KEYWORDS, STRIPPED_BLOCK)}))"
+)
+def t3_blocks_of_pieces(spark, sf):
+    pieces = split_texts.cut_at_lines(SCRIPTS.df(spark, sf, text_table), "doc_id", "script", 500)
+    return split_texts.normalised_blocks(pieces, "doc_id", JobConfig())
+
+
 _METHODS = "|".join(T.METHOD_NAMES)
 
 

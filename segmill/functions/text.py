@@ -96,6 +96,20 @@ def line_blocks(
     return F.filter(found, lambda b: F.rlike(b, F.lit(f"{closed}\\n?\\z")))
 
 
+def leading_end(x: Column, endings: Sequence[str] = BLOCK_ENDINGS) -> Column:
+    """The whole lines up to the first that ends in an ending; empty if none does."""
+    closed = f"{_char_class(endings)}[{BLANK}]*(?:\\n|\\z)"
+    return F.regexp_extract(x, f"(?s)\\A(?:.*?{closed})", 0)
+
+
+def trailing_open(
+    x: Column, keywords: Sequence[str] = BLOCK_KEYWORDS, endings: Sequence[str] = BLOCK_ENDINGS
+) -> Column:
+    """The run that a text leaves open: whole lines from a keyword after the last ending; empty if none."""
+    rest = F.regexp_replace(x, f"(?s)\\A.*{_char_class(endings)}[{BLANK}]*(?:\\n|\\z)", "")
+    return F.regexp_extract(rest, f"(?ims)^[^\\n]*?(?:{_one_of(keywords)}).*\\z", 0)
+
+
 def _squeeze(block: Column) -> Column:
     """A block without query-builder syntax, on one line."""
     q = block
@@ -118,18 +132,23 @@ def normalised_blocks(
     endings: Sequence[str] = BLOCK_ENDINGS,
 ) -> Column:
     """Line blocks as single lines of query-like text."""
+    return normalised(line_blocks(x, keywords, endings))
+
+
+def normalised(blocks: Column) -> Column:
+    """An array of line blocks as single lines of query-like text."""
     # Two passes, as a lambda would evaluate the squeezed text at each mention.
-    squeezed = F.transform(line_blocks(x, keywords, endings), lambda b: _squeeze(b))
+    squeezed = F.transform(blocks, lambda b: _squeeze(b))
     return F.transform(squeezed, lambda q: _assigned(q))
 
 
-def scan_statements(x: Column) -> Column:
-    r"""Statements between semicolons, without literals, comments, digits or line ends.
+def scanned(x: Column) -> Column:
+    r"""A text without literals, comments, digits or line ends.
 
     A quote toggles "inside a literal" unless a backslash stands right before
     it.  ``//`` opens a comment, a line end or ``/*`` closes it.  The two
     states do not know of each other: a quote in a comment counts, and so does
-    ``//`` in a literal.  Outside both, letters and `` (),.=`` are kept.
+    ``//`` in a literal.  Outside both, letters, semicolons and `` (),.=`` are kept.
 
     Splitting does the state keeping.  Comments are cut down to their quotes;
     then every second part between quotes is outside a literal.
@@ -154,8 +173,13 @@ def scan_statements(x: Column) -> Column:
     outside = F.array_join(
         F.filter(F.split(uncommented, '"', -1), lambda _, i: i % 2 == 0), ""
     )
-    kept = F.regexp_replace(outside, f"[^\\p{{L}};{re.escape(SCAN_KEPT)}]+", "")
-    return F.transform(F.filter(F.split(kept, ";", -1), lambda s: s != ""), lambda s: F.trim(s))
+    return F.regexp_replace(outside, f"[^\\p{{L}};{re.escape(SCAN_KEPT)}]+", "")
+
+
+def scan_statements(x: Column) -> Column:
+    """Statements between semicolons of the ``scanned`` text."""
+    parts = F.filter(F.split(scanned(x), ";", -1), lambda s: s != "")
+    return F.transform(parts, lambda s: F.trim(s))
 
 
 def method_calls(x: Column, names: Sequence[str] = METHOD_NAMES) -> Column:

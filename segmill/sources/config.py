@@ -23,6 +23,8 @@ class JobConfig:
     load_log_key: str = ""
     query_map: Mapping[str, str] = field(default_factory=dict)
     stage_dir: str | None = None
+    # With a run_id of one's own: go on where a run of that id was cut off.
+    resume: bool = False
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def fill(self, text: str) -> str:

@@ -15,10 +15,10 @@ from segmill.operators.joins import (
     measured_bytes,
     left_lookup,
 )
-from segmill.operators.months import month_ends
+from segmill.operators.months import month_ends, period_lookup, value_range
 from segmill.operators.schema import conform, with_audit
-from segmill.operators.sets import union_bag, union_set
-from segmill.operators.windows import heavy_keys, partition_max, window_max
+from segmill.operators.sets import distinct_rows, union_bag, union_set
+from segmill.operators.windows import heavy_candidates, heavy_keys, partition_max, window_max
 from segmill.sources.config import JobConfig
 
 
@@ -187,3 +187,94 @@ def test_audit_and_conform(spark):
     rows = out.collect()
     assert [(r.B, r.A, r.LOAD_LOG_KEY) for r in rows] == [("x", 1, None), ("y", None, None)]
     assert rows[0].LOAD_DTM == rows[1].LOAD_DTM is not None
+
+
+def keyed(spark, rows, heavy):
+    """``rows`` rows: ``heavy`` keys with a third of them together, all other keys once."""
+    third = rows // 3
+    key = F.when(F.col("id") < third, F.col("id") % heavy).otherwise(F.col("id") + 10_000)
+    return spark.range(rows).select(key.alias("k"), F.when(F.col("id") % 5 > 0, "id").alias("v"))
+
+
+def hashes(df) -> set:
+    return {r.key_hash for r in df.collect()} if df is not None else set()
+
+
+@pytest.mark.parametrize("rows, heavy, min_rows", [(200_000, 3, 9_000), (200_000, 300, 150), (30_000, 1, 5), (50_000, 20, 20)])
+def test_a_summary_finds_the_heavy_keys(spark, rows, heavy, min_rows):
+    df = keyed(spark, rows, heavy).repartition(7)
+    exact = df.groupBy("k").count().where(F.col("count") > min_rows).select(F.xxhash64("k").alias("key_hash"))
+    assert hashes(heavy_keys(df, ["k"], JobConfig(), min_rows)) == hashes(exact) != set()
+    found = heavy_candidates(df, ["k"], min_rows)
+    assert found is not None and hashes(exact) <= set(found)
+
+
+def test_flat_keys_are_told_without_counting_them(spark):
+    flat = spark.range(300_000).withColumnRenamed("id", "k")
+    assert heavy_candidates(flat, ["k"], 1_000) == []
+    assert heavy_keys(flat, ["k"], JobConfig(), 1_000) is None
+    # Too many rows for a summary to name every key that may be heavy: all are counted.
+    assert heavy_candidates(flat, ["k"], 3) is None
+    assert heavy_keys(flat, ["k"], JobConfig(), 3) is None
+    assert heavy_keys(flat.where("false"), ["k"], JobConfig(), 3) is None
+
+
+def test_what_a_summary_shuffles_does_not_grow_with_the_keys(spark):
+    """One row a task, whose size the parameters bound, whatever the number of keys."""
+    from segmill.operators import windows
+
+    top = F.expr(f"approx_top_k(k, {windows.LISTED}, {windows.TRACKED})")
+    text = plan(spark.range(1000).withColumnRenamed("id", "k").agg(F.count(F.lit(1)), top))
+    assert "Exchange SinglePartition" in text and "hashpartitioning" not in text
+
+
+def test_partition_max_reads_a_derived_frame_twice(spark, monkeypatch):
+    from segmill.operators import windows
+
+    staged = []
+    real = windows.stage
+    monkeypatch.setattr(windows, "stage", lambda df, cfg, name: staged.append((name.split("-")[0], df.columns)) or real(df, cfg, name))
+    derived = keyed(spark, 20_000, 2).groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("w", F.lit("wide"))
+    out = partition_max(derived, ["k"], "v", "m", JobConfig(), 500)
+    assert staged[0] == ("narrow", ["k", "v"])
+    assert bag(out) == bag(window_max(derived, ["k"], "v", "m"))
+
+
+def test_distinct_rows_moves_only_repeated_rows(spark):
+    rows = [(i, None if i % 3 else "x", float(i % 2), i % 7) for i in range(300)]
+    rows += rows[:20] + [(None, None, None, None)] * 3
+    rows += [(400, "z", 0.0, 1), (400, "z", -0.0, 1), (401, None, float("nan"), 1), (401, None, float("nan"), 1)]
+    df = spark.createDataFrame(rows, "a int, s string, d double, e int").repartition(5)
+    want = df.distinct()
+    text = lambda x: bag(x.selectExpr("a", "s", "cast(d as string) d", "e"))
+    for limit in (1 << 20, 0):
+        assert text(distinct_rows(df, JobConfig(), limit)) == text(want)
+    out = distinct_rows(df, JobConfig())
+    # Rows that are alone stay where they are: the only exchange is that of the repeated ones.
+    assert plan(out).count("Exchange hashpartitioning(a") == 1 and "LeftAnti" in plan(out)
+    swapped = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "x string, y string")
+    assert bag(distinct_rows(swapped, JobConfig())) == {("a", None): 1, (None, "a"): 1}
+    nested = spark.createDataFrame([([1],), ([1],)], "x array<int>")
+    assert distinct_rows(nested, JobConfig()).count() == 1
+    assert distinct_rows(df.where("false"), JobConfig()).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 5, 120])
+def test_period_lookup_equals_a_row_per_month(spark, width):
+    day = date.fromisoformat
+    periods = spark.createDataFrame(
+        [(1, day("2020-01-15"), day("2020-03-31"), "a"), (1, day("2020-03-31"), day("9999-12-31"), "b"),
+         (1, day("0001-01-01"), day("2020-02-28"), "c"), (2, day("2020-05-01"), day("2020-04-01"), "d"),
+         (2, None, day("2021-01-01"), "e"), (2, day("2020-01-01"), None, "f"), (None, day("2020-01-01"), day("2021-01-01"), "g"),
+         (3, day("2030-01-01"), day("2031-01-01"), "h")],
+        "p int, s date, e date, n string",
+    )
+    months = [f"{y}-{m:02d}-28" for y in (2019, 2020, 2021) for m in range(1, 13)]
+    rows = spark.createDataFrame([(k, day(m)) for k in (1, 2, 3) for m in months] + [(None, day("2020-06-30")), (1, None)], "k int, m date")
+    rows = rows.withColumn("m", F.last_day("m"))
+    calendar = value_range(rows, "m")
+    got = period_lookup(rows, periods, [("k", "p")], "m", "s", "e", {"n": "n"}, calendar, width)
+    right = month_ends(periods, "s", "e", calendar=calendar)
+    want = left_lookup(rows, right, [("k", "p"), ("m", "month_end")], {"n": "n"})
+    assert bag(got) == bag(want)
+    assert period_lookup(rows.where("false"), periods, [("k", "p")], "m", "s", "e", {"n": "n"}, calendar).count() == 0

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -7,8 +8,11 @@ from segmill.plans import mining
 from segmill.sources.config import JobConfig
 from segmill.sources.scripts import (
     read_lines,
+    read_packed,
     read_scripts,
     render_statements,
+    split_lines,
+    write_packed,
     write_statements,
 )
 from segmill.sources.staging import discard_staged, stage, stage_root, staged_run
@@ -112,3 +116,49 @@ def test_render_and_write(spark, scripts, tmp_path):
     assert len([d for d in os.listdir(out) if d.startswith("script_id=")]) == 2
     written = sorted(r[0] for r in spark.read.text(f"{out}/*").collect() if r[0])
     assert written == ["x(a, b);", "ywhere(c);;"]
+
+
+@pytest.mark.parametrize("split", ["7", "64", "1m"])
+def test_lines_of_files_cut_into_many_splits(spark, tmp_path, split):
+    """Line ends of every kind, lines that cross splits, empty lines; numbers as if read whole."""
+    rng = random.Random(int(split.strip("m")))
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for k in range(4):
+        line = lambda: "".join(rng.choice("ab é;λ") for _ in range(rng.randrange(0, 40)))
+        text = "".join(line() + rng.choice(["\n", "\r\n"]) for _ in range(40)) + ("open end" if k % 2 else "")
+        (folder / f"{k}.txt").write_bytes(text.encode())
+    (folder / "empty.txt").write_bytes(b"")
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1"}
+    whole = split_lines(read_scripts(spark, str(folder)).where("text <> ''"), "script_id", "text")
+    want = sorted(map(tuple, whole.collect()))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        tasks = spark.read.text(str(folder)).rdd.getNumPartitions()
+        got = sorted(map(tuple, read_scripts(spark, str(folder), by="line").collect()))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert got == want and (tasks > 100) == (split == "7")
+
+
+def test_packed_texts(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda: "".join(rng.choice("ab\n\r é;λ\u2028") for _ in range(rng.randrange(0, 60)))
+    rows = [(k % 50, text()) for k in range(400)] + [(None, "of none"), (7, None), (60, "x" * 5_000)]
+    df = spark.createDataFrame(rows, "k int, t string").repartition(6)
+    path = str(tmp_path / "packed")
+    write_packed(df, path, "k", "t", CFG, pack_bytes=4_000)
+    size = sum(len((t or "").encode()) + 1 for _, t in rows)
+    files = [f for _, _, names in os.walk(f"{path}/texts") for f in names if f.startswith("part")]
+    assert 1 < len(files) <= -(-size // 4_000)
+    by_value = lambda rows: sorted((-1 if k is None else k, t or "") for k, t in rows)
+    assert by_value(map(tuple, read_packed(spark, path).collect())) == by_value(rows)
+    wanted = spark.createDataFrame([(7,), (8,), (8,), (99,), (None,)], "id int")
+    some = read_packed(spark, path, wanted).collect()
+    assert by_value(map(tuple, some)) == by_value(r for r in rows if r[0] in (7, 8))
+    with pytest.raises(Exception, match="already exists"):
+        write_packed(df, path, "k", "t", CFG)
+    write_packed(df.where("false"), str(tmp_path / "none"), "k", "t", CFG)
+    assert spark.read.parquet(str(tmp_path / "none/index")).count() == 0
