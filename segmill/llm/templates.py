@@ -11,7 +11,10 @@ enough different texts is boilerplate: its lines stay in the first document that
 has it and are dropped elsewhere.
 
 DataFrame functions only.  Leaves that do not recur are left out after the
-first, narrow count; of the others each distinct line is generalised once.
+first, narrow count; of the others each distinct line is generalised once.  The
+texts of lines are shuffled with their leaf and for that; everything else knows a
+line, and a template, by 128 bits of hash.  All joins that grow with the corpus
+are merged, so the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -23,9 +26,10 @@ from segmill.llm.base import Scratch
 
 MIN_TEXTS = 5      # different texts that make a template boilerplate
 LEADING = 3        # depth of the tree below the token count
-MIN_TOKENS = 3     # shorter lines are never dropped
+MIN_TOKENS = 3     # a line of fewer tokens
+MIN_CHARS = 30     # and of fewer bytes is never dropped
 FIXED_TOKENS = 0.5  # share of tokens that must not be fields
-FIELD_SHARE = 0.05  # of a leaf's texts: a rarer token is a field at its place
+FIELD_ONE_IN = 20  # a token in fewer than one in so many of a leaf's texts is a field at its place
 
 FIELD = "<*>"
 NO_ID = -(1 << 63)
@@ -52,10 +56,20 @@ def _lines(docs: DataFrame) -> DataFrame:
     lines = docs.select(
         "id", "row", "t", F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line_no", "line")
     )
-    lines = lines.withColumn("n_tokens", _count(F.col("line"), " ") + 1).where(F.col("n_tokens") >= MIN_TOKENS)
+    lines = lines.withColumn("n_tokens", _count(F.col("line"), " ") + 1).where(
+        (F.col("n_tokens") >= MIN_TOKENS) | (F.octet_length("line") >= MIN_CHARS)
+    )
     return lines.withColumn("leaf", F.xxhash64("n_tokens", F.substring_index("line", " ", LEADING)))
 
 
+LINE, TEMPLATE = ("line_0", "line_1"), ("template_0", "template_1")
+
+
+def _hashes(name: str) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(name).alias(f"{name}_0"), F.xxhash64(F.lit(1), F.col(name)).alias(f"{name}_1")]
+
+
 def _in_texts(rows: DataFrame, key: list[str], min_texts: int) -> DataFrame:
     """Keys that occur in enough different texts, with their number ``n``."""
     return (
@@ -89,33 +103,44 @@ def drop_templates(
         _in_texts(lines.select("id", "t", "leaf"), ["leaf"], min_texts).select("leaf", F.col("n").alias("leaf_texts")),
         "leaves",
     )
-    # Both sides of this join and of the last one grow with the corpus: they are
-    # merged at every size, never broadcast.
-    found = scratch.put(lines.join(leaves.select("leaf").hint("merge"), "leaf"), "found")
-
+    # Both sides of the joins that are hinted grow with the corpus.
+    found = scratch.put(
+        lines.select("id", "row", "t", "line_no", "leaf", "line", *_hashes("line"))
+        .join(leaves.select("leaf").hint("merge"), "leaf"),
+        "found",
+    )
+    here = ["leaf", *LINE]
     # A text's lines in a leaf.  Where there is one, numbers of texts add up over
     # lines; texts with several are counted for themselves.
     texts = scratch.put(
-        found.groupBy("leaf", "t").agg(F.min("id").alias("id"), F.collect_set("line").alias("lines")), "texts"
+        found.groupBy("leaf", "t").agg(F.min("id").alias("id"), F.collect_set(F.struct(*LINE)).alias("lines")), "texts"
     )
-    several = texts.where(F.size("lines") > 1).select("leaf", "t", F.explode("lines").alias("line"))
+    one_of = texts.select("leaf", "t", "id", F.size("lines").alias("size"), F.explode("lines").alias("of"))
+    one_of = one_of.select("leaf", "t", "id", "size", "of.*")
+    several = one_of.where("size > 1")
     # Each distinct line once, with the number of texts that have no other one in
     # its leaf, and the first document that has it.
     distinct = scratch.put(
-        texts.select("leaf", "id", (F.size("lines") == 1).cast("long").alias("alone"), F.explode("lines").alias("line"))
-        .groupBy("leaf", "line").agg(F.sum("alone").alias("n"), F.min("id").alias("first_id")),
+        one_of.groupBy(*here).agg(F.sum((F.col("size") == 1).cast("long")).alias("n"), F.min("id").alias("first_id")),
         "distinct",
     )
-    tokens = distinct.select("leaf", "line", "n", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    tokens_of_several = several.select("leaf", "t", F.posexplode(F.split("line", " ")).alias("pos", "token")).distinct()
+    # The only other place where lines' texts go: one for each distinct line.
+    words = scratch.put(
+        found.groupBy(*here).agg(F.any_value("line").alias("line"))
+        .select(*here, F.split("line", " ").alias("tokens")),
+        "words",
+    )
+    at = F.posexplode("tokens").alias("pos", "token")
+    by_line = words.join(distinct.select(*here, "n").hint("merge"), here).select(*here, "n", at)
+    by_text = words.join(several.select(*here, "t").hint("merge"), here).select("leaf", "t", at).distinct()
     fixed = scratch.put(
-        tokens.select("leaf", "pos", "token", "n")
-        .unionByName(tokens_of_several.select("leaf", "pos", "token", F.lit(1).cast("long").alias("n")))
+        by_line.select("leaf", "pos", "token", "n")
+        .unionByName(by_text.select("leaf", "pos", "token", F.lit(1).cast("long").alias("n")))
         .where(F.col("token") != FIELD).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("in_texts"))
         .where(F.col("in_texts") >= min_texts).join(leaves.hint("merge"), "leaf")
         .select(
             "leaf", "pos", "token", F.lit(True).alias("fixed"),
-            F.when(F.col("in_texts") >= FIELD_SHARE * F.col("leaf_texts"), True).alias("common"),
+            F.when(F.col("in_texts") * FIELD_ONE_IN >= F.col("leaf_texts"), True).alias("common"),
         ),
         "fixed",
     )
@@ -127,34 +152,35 @@ def drop_templates(
     # Lines alike by their fixed tokens are alike by their common ones: none is split.
     template = F.when(F.col("n_common") >= enough, F.col("places.common")).otherwise(F.col("places.fixed"))
     general = (
-        tokens.join(fixed, ["leaf", "pos", "token"], "left")
-        .groupBy("leaf", "line").agg(
+        words.select(*here, at).join(fixed.hint("merge"), ["leaf", "pos", "token"], "left")
+        .groupBy(*here).agg(
             F.array_sort(F.collect_list(place)).alias("places"), F.count("fixed").alias("n_fixed"),
             F.count("common").alias("n_common"), F.count(F.lit(1)).alias("n_tokens"),
         )
         .where(F.col("n_fixed") >= enough)
-        .select("leaf", "line", F.array_join(template, " ").alias("template"))
+        .withColumn("template", F.array_join(template, " ")).select(*here, *_hashes("template"))
     )
-    templates = scratch.put(general.join(distinct, ["leaf", "line"]), "templates")
+    templates = scratch.put(general.join(distinct.hint("merge"), here), "templates")
+    same = ["leaf", *TEMPLATE]
     templates_of_several = (
-        several.join(templates.select("leaf", "line", "template").hint("merge"), ["leaf", "line"])
-        .select("leaf", "t", "template").distinct()
-        .select("leaf", "template", F.lit(1).cast("long").alias("n"), F.lit(None).cast("long").alias("first_id"))
+        several.select(*here, "t").join(templates.select(*here, *TEMPLATE).hint("merge"), here)
+        .select(*same, "t").distinct()
+        .select(*same, F.lit(1).cast("long").alias("n"), F.lit(None).cast("long").alias("first_id"))
     )
-    counted = templates.select("leaf", "template", "n", "first_id").unionByName(templates_of_several)
-    recurring = counted.groupBy("leaf", "template").agg(
+    counted = templates.select(*same, "n", "first_id").unionByName(templates_of_several)
+    recurring = counted.groupBy(*same).agg(
         F.sum("n").alias("n_texts"), F.min("first_id").alias("kept_in")
     ).where(F.col("n_texts") >= min_texts)
     gone = scratch.put(
-        templates.join(recurring, ["leaf", "template"]).select("leaf", "line", "kept_in"), "gone"
+        templates.select(*here, *TEMPLATE).join(recurring.hint("merge"), same).select(*here, "kept_in"), "gone"
     )
     gone_lines = F.collect_set("line_no").alias("__gone_lines")
     dropped = scratch.put(
-        found.join(gone, ["leaf", "line"]).where("id <> kept_in")
+        found.select("id", "row", "line_no", *here).join(gone.hint("merge"), here).where("id <> kept_in")
         .groupBy(F.col("row").alias("__gone_row")).agg(gone_lines),
         "dropped",
     )
-    scratch.drop("found", "texts", "distinct", "fixed", "templates")
+    scratch.keep_only("dropped")
     rows = df.drop("n_lines", "n_dropped")
     joined = rows.withColumn("__row", row).join(
         dropped.hint("merge"), F.col("__row") == F.col("__gone_row"), "left"
@@ -178,28 +204,33 @@ WITH ln AS (
   FROM (SELECT *, string_split(text, chr(10)) AS parts FROM documents)
 ), lf AS (
   SELECT *, array_to_string(string_split(line, ' ')[1:{LEADING}], ' ') AS lead, len(string_split(line, ' ')) AS n_tokens
-  FROM ln WHERE len(string_split(line, ' ')) >= {MIN_TOKENS}
+  FROM ln WHERE len(string_split(line, ' ')) >= {MIN_TOKENS} OR strlen(line) >= {MIN_CHARS}
 ), leaves AS (
-  SELECT n_tokens, lead FROM lf GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_TEXTS}
+  SELECT n_tokens, lead, count(DISTINCT t) AS leaf_texts FROM lf GROUP BY ALL HAVING leaf_texts >= {MIN_TEXTS}
 ), found AS (SELECT * FROM lf JOIN leaves USING (n_tokens, lead)
-), uniq AS (
-  SELECT n_tokens, lead, line, count(DISTINCT t) AS n, min(doc_id) AS first_id FROM found GROUP BY ALL
 ), tok AS (
-  SELECT *, unnest(string_split(line, ' ')) AS token, generate_subscripts(string_split(line, ' '), 1) AS pos FROM uniq
+  SELECT *, unnest(string_split(line, ' ')) AS token, generate_subscripts(string_split(line, ' '), 1) AS pos
+  FROM (SELECT DISTINCT n_tokens, lead, leaf_texts, line, t FROM found)
 ), fixed AS (
-  SELECT n_tokens, lead, pos, token FROM tok WHERE token <> '{FIELD}' GROUP BY ALL HAVING sum(n) >= {MIN_TEXTS}
+  SELECT n_tokens, lead, pos, token, {FIELD_ONE_IN} * count(DISTINCT t) >= leaf_texts AS common
+  FROM tok WHERE token <> '{FIELD}' GROUP BY n_tokens, lead, leaf_texts, pos, token HAVING count(DISTINCT t) >= {MIN_TEXTS}
 ), general AS (
-  SELECT tok.n_tokens, tok.lead, line, any_value(n) AS n, any_value(first_id) AS first_id, count(fixed.pos) AS n_fixed,
-    string_agg(CASE WHEN fixed.pos IS NULL THEN '{FIELD}' ELSE tok.token END, ' ' ORDER BY tok.pos) AS template
-  FROM tok LEFT JOIN fixed ON tok.n_tokens = fixed.n_tokens AND tok.lead = fixed.lead
-    AND tok.pos = fixed.pos AND tok.token = fixed.token
-  GROUP BY tok.n_tokens, tok.lead, line
+  SELECT w.n_tokens, w.lead, line, count(fixed.pos) AS n_fixed, count(*) FILTER (WHERE common) AS n_common,
+    string_agg(CASE WHEN fixed.pos IS NULL THEN '{FIELD}' ELSE w.token END, ' ' ORDER BY w.pos) AS by_fixed,
+    string_agg(CASE WHEN common THEN w.token ELSE '{FIELD}' END, ' ' ORDER BY w.pos) AS by_common
+  FROM (SELECT DISTINCT n_tokens, lead, line, pos, token FROM tok) w
+  LEFT JOIN fixed ON w.n_tokens = fixed.n_tokens AND w.lead = fixed.lead
+    AND w.pos = fixed.pos AND w.token = fixed.token
+  GROUP BY w.n_tokens, w.lead, line
 ), templ AS (
-  SELECT *, sum(n) OVER p AS n_texts, min(first_id) OVER p AS kept_in FROM general
-  WHERE n_fixed >= {FIXED_TOKENS} * n_tokens WINDOW p AS (PARTITION BY n_tokens, lead, template)
+  SELECT n_tokens, lead, line, CASE WHEN n_common >= {FIXED_TOKENS} * n_tokens THEN by_common ELSE by_fixed END AS template
+  FROM general WHERE n_fixed >= {FIXED_TOKENS} * n_tokens
+), recurring AS (
+  SELECT n_tokens, lead, template, min(doc_id) AS kept_in FROM found JOIN templ USING (n_tokens, lead, line)
+  GROUP BY ALL HAVING count(DISTINCT t) >= {MIN_TEXTS}
 ), gone AS (
-  SELECT doc_id, line_no FROM found JOIN templ USING (n_tokens, lead, line)
-  WHERE n_texts >= {MIN_TEXTS} AND doc_id <> kept_in
+  SELECT doc_id, line_no FROM found JOIN templ USING (n_tokens, lead, line) JOIN recurring USING (n_tokens, lead, template)
+  WHERE doc_id <> kept_in
 ), rest AS (
   SELECT doc_id, count(*) AS n_lines, count(g.line_no) AS n_dropped,
     coalesce(string_agg(raw, chr(10) ORDER BY a.line_no) FILTER (WHERE g.line_no IS NULL), '') AS left_text

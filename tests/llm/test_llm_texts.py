@@ -192,6 +192,33 @@ def test_templates_count_a_text_once(spark):
     assert out.where("doc_id < 2 and n_dropped > 0").isEmpty()
 
 
+def test_templates_equal_their_sql(spark, odd, duck):
+    """On rows where shares, distinct texts, copies and lines without blanks decide."""
+    from oracle import difference
+
+    rng = random.Random(6)
+    rows = [(r.doc_id, r.text) for r in odd.where("doc_id is not null").dropDuplicates(["doc_id"]).collect()]
+    two = lambda: rng.choice(string.ascii_lowercase) + rng.choice(string.ascii_lowercase)
+    rows += [(1_000 + i, f"own text w{i}\nPosted by user {two()} from town {two()} this morning") for i in range(400)]
+    words = [c * 3 for c in string.ascii_lowercase] + [c * 4 for c in string.ascii_lowercase[:14]]
+    rows += [(2_000 + i, f"a b c {' '.join(w + k for k in 'uvwxyz')}\nown{i}") for i, w in enumerate(words * 6)]
+    rows += [(3_000 + i, f"本サイトの内容は許可なく転載することを禁じます\nshort\nk{i}") for i in range(9)]
+    rows += [(3_100 + i, "\n".join(f"x y z {w} d e f" for w in ("red", "blue", "pink"))) for i in range(2)]
+    rows += [(3_200 + i, f"x y z p{chr(97 + i)} q r s") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    duck.execute("CREATE TEMP TABLE odd_docs (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO odd_docs VALUES (?, ?)", rows)
+    out = templates.drop_templates(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+    sql = templates.ORACLE_SQL.replace("documents", "odd_docs")
+    # A null text is an empty one in SQL's hash.
+    assert difference(out.where("n_lines > 0"), duck, f"SELECT * FROM ({sql}) WHERE n_lines > 0") is None
+    dropped = {r.doc_id: r.n_dropped for r in out.collect()}
+    # Both lines of each: "own text" with its number, and the two fields.
+    assert sum(dropped[1_000 + i] for i in range(400)) == 2 * 399
+    assert sum(dropped[3_000 + i] for i in range(9)) == 8
+    assert dropped[3_100] == dropped[3_101] == 0
+
+
 def test_mixing_meets_targets(spark, odd, nothing):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(1, 60), rng.choice("abc"), rng.choice(["x", "x", "x", "y"])) for i in range(4000)]
