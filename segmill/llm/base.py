@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spelled(df: DataFrame, name: str) -> str:
+    """A column's name as the frame spells it: Spark does not tell cases apart, Arrow does."""
+    return next((c for c in df.columns if c.lower() == name.lower()), name)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from the session's settings."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -24,8 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from segmill.llm import words as W
+from segmill.llm.base import spelled
 
 SPACE = "▁"  # stands for a space in pieces
+WORD = 8      # bytes compared at once
 BATCH_BYTES = 1 << 22
 KNOWN_CHUNKS = 400_000  # chunks a task remembers
 LONG_CHUNK = 2_048      # longer chunks are merged one by one
@@ -146,16 +148,68 @@ def merge(text: str, plain: dict[str, int], scores: dict[str, float]) -> tuple[l
     return [p for p in parts if p], last
 
 
+def _numbers(texts: list[bytes], words: int) -> np.ndarray:
+    """``[text, word]``: texts of equal length as numbers of eight bytes that sort as they do."""
+    return np.frombuffer(b"".join(texts), dtype=">u8").reshape(len(texts), words).astype(np.uint64)
+
+
+def _eights(text: np.ndarray, room: int) -> np.ndarray:
+    """The eight bytes from each place on as a number, zeros after the end, for ``room`` places more."""
+    out = np.concatenate([text, np.zeros(room + WORD, dtype=np.uint8)]).astype(np.uint64)
+    for shift in (1, 2, 4):
+        out[:-shift] = (out[:-shift] << np.uint64(8 * shift)) | out[shift:]
+    return out
+
+
+def _suffix_order(keys: np.ndarray, places: np.ndarray, words: int) -> np.ndarray:
+    """The order of the suffixes at ``places`` by their first ``words`` numbers.
+
+    All are sorted by the first number; only those that tie, by the next.
+    """
+    order = np.argsort(keys[places], kind="stable")
+    first = keys[places[order]]
+    same = np.zeros(len(order) + 1, dtype=bool)
+    same[1:-1] = first[1:] == first[:-1]
+    for k in range(1, words):
+        tied = np.flatnonzero(same[:-1] | same[1:])
+        if not len(tied):
+            break
+        group = np.cumsum(~same[:-1])[tied]
+        number = keys[places[order[tied]] + k * WORD]
+        by = np.lexsort((number, group))
+        order[tied] = order[tied][by]
+        number = number[by]
+        still = np.zeros(len(order) + 1, dtype=bool)
+        still[tied[1:]] = (number[1:] == number[:-1]) & (group[1:] == group[:-1])
+        same = still
+    return order
+
+
+def _bisect(at, wanted: np.ndarray, low: np.ndarray, high: np.ndarray, strict: bool) -> np.ndarray:
+    """In each range, the first place whose number is at least (``strict``: above) the wanted one."""
+    low, high = low.copy(), high.copy()
+    while True:
+        open_ = np.flatnonzero(low < high)
+        if not len(open_):
+            return low
+        middle = (low[open_] + high[open_]) // 2
+        number = at(middle)
+        before = (number <= wanted[open_]) if strict else (number < wanted[open_])
+        low[open_[before]] = middle[before] + 1
+        high[open_[~before]] = middle[~before]
+
+
 class Encoder:
     """Encodes batches; remembers chunks and neighbouring pieces it has met."""
 
     def __init__(self, vocab: Vocabulary):
         self.v = vocab
-        self.width = -(-max(len(t) for t in vocab.texts) // 8) * 8
         searched = [vocab.texts[i] for i in vocab.normal]
-        self.lengths = np.array([len(t) for t in searched])
-        self.low = np.array(searched, dtype=f"S{self.width}")
-        self.high = np.array([t.ljust(self.width, b"\xff") for t in searched], dtype=f"S{self.width}")
+        self.lengths = np.array([len(t) for t in searched], dtype=np.int64)
+        self.words = -(-int(self.lengths.max(initial=1)) // WORD)
+        # Each piece's least and largest continuation, as numbers of eight bytes.
+        self.low = _numbers([t.ljust(self.words * WORD, b"\x00") for t in searched], self.words)
+        self.high = _numbers([t.ljust(self.words * WORD, b"\xff") for t in searched], self.words)
         self.tied = np.isin(vocab.normal, vocab.tied)
         self.met = np.full(1 << 20, -1, dtype=np.int64)
         self.fits = np.zeros(1 << 20, dtype=bool)
@@ -179,7 +233,7 @@ class Encoder:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))[: len(starts)]
         hashes = W.span_hashes(data, starts, ends)
-        distinct, at = np.unique(hashes, return_index=True)
+        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
         new = ~np.isin(distinct, self.hashes, assume_unique=True)
         if new.any():
             if len(self.hashes) + new.sum() > KNOWN_CHUNKS:
@@ -187,7 +241,7 @@ class Encoder:
                 self.hashes, self.starts = self.hashes[:0], self.starts[:0]
                 self.sizes, self.flat = self.sizes[:0], self.flat[:0]
             self._learn(distinct[new], data, starts[at[new]], ends[at[new]])
-        entry = np.searchsorted(self.hashes, hashes)
+        entry = np.searchsorted(self.hashes, distinct)[which]
         sizes = self.sizes[entry]
         first = np.cumsum(sizes) - sizes
         ids = self.flat[np.arange(sizes.sum()) + np.repeat(self.starts[entry] - first, sizes)]
@@ -209,16 +263,30 @@ class Encoder:
     def _edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(start, index of the piece)`` of all occurrences of all pieces, by the suffix array."""
         places = np.flatnonzero(text & 0xC0 != 0x80)
-        padded = np.concatenate([text, np.zeros(self.width, dtype=np.uint8)])
-        suffixes = np.lib.stride_tricks.sliding_window_view(padded, self.width)[places]
-        words = suffixes.view(">u8").astype(np.uint64)
-        order = np.lexsort(words.T[::-1])
-        array = np.ascontiguousarray(suffixes[order]).view(f"S{self.width}").reshape(-1)
-        low, high = np.searchsorted(array, self.low, "left"), np.searchsorted(array, self.high, "right")
-        counts = high - low
+        keys = _eights(text, self.words * WORD)
+        order = _suffix_order(keys, places, self.words)
+        array = places[order]
+        low = np.zeros(len(self.lengths), dtype=np.int64)
+        high = np.full(len(self.lengths), len(array), dtype=np.int64)
+        # A range of suffixes with the piece's first words narrows by the next word.
+        live = np.arange(len(self.lengths))
+        for k in range(self.words):
+            if not k:
+                first = keys[array]
+                low[:] = np.searchsorted(first, self.low[:, 0], "left")
+                high[:] = np.searchsorted(first, self.high[:, 0], "right")
+            else:
+                live = live[(self.lengths[live] > k * WORD) & (low[live] < high[live])]
+                if not len(live):
+                    break
+                at = lambda i: keys[array[i] + k * WORD]  # noqa: B023, E731
+                left = _bisect(at, self.low[live, k], low[live], high[live], strict=False)
+                high[live] = _bisect(at, self.high[live, k], left, high[live], strict=True)
+                low[live] = left
+        counts = np.maximum(high - low, 0)
         piece = np.repeat(np.arange(len(counts)), counts)
         at = np.arange(counts.sum()) + np.repeat(low - (np.cumsum(counts) - counts), counts)
-        return places[order[at]], piece
+        return array[at], piece
 
     def _segment(self, text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks, end to end, and how many each has."""
@@ -238,8 +306,10 @@ class Encoder:
         # Characters that no piece consists of, alone or as a beginning, get an edge of their own.
         places = np.flatnonzero(text & 0xC0 != 0x80)
         next_place = np.append(places[1:], n)
+        after = np.zeros(n + 1, dtype=np.int64)
+        after[places] = next_place
         has = np.zeros(n + 1, dtype=bool)
-        has[start[end == next_place[np.searchsorted(places, start)]]] = True
+        has[start[end == after[start]]] = True
         bare = ~has[places] & ~slow[chunk_of[places]]
         start = np.concatenate([start, places[bare]])
         token = np.concatenate([token, np.full(int(bare.sum()), OTHER)])
@@ -357,26 +427,41 @@ def decode(vocab: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> list[str]
     return [data[a:b].removeprefix(b" ").decode(errors="replace") for a, b in zip(at, at[1:], strict=False)]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, text: str, out: str) -> Iterator[pa.RecordBatch]:
+def _encode(
+    batches: Iterator[pa.RecordBatch], vocab: Vocabulary, text: str, out: str, check: str | None
+) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(vocab)
-    for batch in W.chunks(batches, text, BATCH_BYTES):
-        column = batch.column(batch.schema.get_field_index(text))
-        ids, offsets = encoder.encode(*_prepared(column))
-        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-        kept = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != out]
-        kept[batch.schema.get_field_index(text)] = column.cast(pa.string())
-        yield pa.RecordBatch.from_arrays([*kept, lists], names=[*[n for n in batch.schema.names if n != out], out])
-
-
-def encode(df: DataFrame, vocab: Vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
+    # The text as given travels behind the one that is worked on, whose nulls are filled.
+    given = (b.append_column("given", b.column(b.schema.get_field_index(text))) for b in batches)
+    for batch in W.chunks(given, text, BATCH_BYTES):
+        at = batch.schema.get_field_index(text)
+        ids, offsets = encoder.encode(*_prepared(batch.column(at)))
+        columns = [*batch.columns[:-1], pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+        columns[at] = batch.column(batch.num_columns - 1).cast(pa.string())
+        names = [*batch.schema.names[:-1], out]
+        if check is not None:
+            texts = decode(vocab, ids.astype(np.int64), offsets)
+            same = [d == t.replace(SPACE, " ") for d, t in zip(texts, batch.column(at).to_pylist(), strict=True)]
+            columns.append(pa.array(same, pa.bool_()))
+            names.append(check)
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def encode(
+    df: DataFrame, vocab: Vocabulary, text_col: str = "text", out: str = "ids", check: str | None = None
+) -> DataFrame:
     """``df`` with the ids of each text, as the model itself gives them.
 
-    One pass, no shuffle.  Empty and null texts have no ids; a null text comes
-    back empty in the result.  A column called ``out`` is replaced, others stay.
+    One pass, no shuffle.  Empty and null texts have no ids; a null text stays
+    null.  ``check`` names a column that tells whether the ids decode to the text
+    (with a space for SPACE; null counts as empty); they are decoded in the same
+    pass.  Columns called ``out`` or ``check`` are replaced, others stay.
     """
-    rest = df.drop(out)
+    rest = df.drop(out, check) if check else df.drop(out)
+    text_col = spelled(rest, text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
-    return rest.mapInArrow(lambda it: _encode(it, vocab, text_col, out), f"{schema}, `{out}` array<int>")
+    schema += f", `{out}` array<int>" + (f", `{check}` boolean" if check else "")
+    return rest.mapInArrow(lambda it: _encode(it, vocab, text_col, out, check), schema)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, ids: str, out: str) -> Iterator[pa.RecordBatch]:
@@ -393,5 +478,6 @@ def _decode(batches: Iterator[pa.RecordBatch], vocab: Vocabulary, ids: str, out:
 def decode_ids(df: DataFrame, vocab: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of each id sequence; null and empty ones give the empty text."""
     rest = df.drop(out)
+    ids_col = spelled(rest, ids_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
     return rest.mapInArrow(lambda it: _decode(it, vocab, ids_col, out), f"{schema}, `{out}` string")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmill.llm import feast
-from segmill.llm.base import Scratch
+from segmill.llm.base import Scratch, spelled
 from segmill.llm.vectors import finite, lists, longest, matrix, of_length
 
 STEPS = 64        # levels to a unit
@@ -176,7 +176,7 @@ def whiten(
     out = "component int, n long, deviation long, whitened double, explained double, identity_error double"
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")).where(finite(F.col("vector")))
     d = longest(rows, "vector")
-    kind = df.schema[rows_name(df, id_col)].dataType.simpleString()
+    kind = df.schema[spelled(df, id_col)].dataType.simpleString()
     if not d:
         return spark.createDataFrame([], f"{id_col} {kind}, {out}")
     rows = rows.select("id", of_length(levels(F.col("vector")), d, F.lit(0).cast("long")).alias("y"))
@@ -196,8 +196,3 @@ def whiten(
             ], names=[id_col, *(c.split()[0] for c in out.split(", "))])
 
     return rows.mapInArrow(result, f"{id_col} {kind}, {out}")
-
-
-def rows_name(df: DataFrame, name: str) -> str:
-    """The column's name as the frame spells it."""
-    return next(c for c in df.columns if c.lower() == name.lower())

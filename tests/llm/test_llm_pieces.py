@@ -57,12 +57,41 @@ def test_small_vocabularies_equal_merging():
         assert got == [[plain[p] for p in pieces.merge("▁" + t, plain, by_piece)[0]] for t in texts]
 
 
+def test_suffixes_are_sorted_and_searched_exactly(vocab):
+    rng = np.random.default_rng(3)
+    encoder = pieces.Encoder(vocab)
+    words = [t for t in vocab.texts if t]
+    text = b"".join(words[k] for k in rng.integers(0, len(words), 3_000)) + b"aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"
+    data = np.frombuffer(text, dtype=np.uint8)
+    places = np.flatnonzero(data & 0xC0 != 0x80)
+    order = pieces._suffix_order(pieces._eights(data, encoder.words * 8), places, encoder.words)
+    wide = encoder.words * 8
+    suffixes = [text[p: p + wide].ljust(wide, b"\0") for p in places[order]]
+    assert suffixes == sorted(suffixes)
+    starts, piece = encoder._edges(data)
+    found = set(zip(starts.tolist(), piece.tolist(), strict=True))
+    searched = {vocab.texts[i]: k for k, i in enumerate(vocab.normal)}
+    longest = max(map(len, searched))
+    want = {(p, searched[text[p: p + n]]) for p in places.tolist() for n in range(1, longest + 1) if text[p: p + n] in searched}
+    assert found == {(p, k) for p, k in want if p + encoder.lengths[k] <= len(text)}
+
+
 def test_round_trip_on_odd_rows(odd, nothing, vocab):
     out = pieces.decode_ids(pieces.encode(odd.withColumn("ids", F.lit(1)), vocab), vocab)
     assert set(out.columns) == {*odd.columns, "ids", "decoded"} and out.count() == odd.count()
     assert out.where("decoded <> text or ids is null").isEmpty()
     assert out.where("text = '' and size(ids) > 0").isEmpty()
     assert pieces.decode_ids(pieces.encode(nothing, vocab), vocab).count() == 0
+    # The check in the same pass; a null text stays null; names in any case.
+    checked = pieces.encode(odd.withColumnRenamed("text", "Text").withColumn("Same", F.lit(1)), vocab, "TEXT", check="same")
+    assert checked.where("not same").isEmpty() and checked.count() == odd.count()
+    assert checked.where("Text is null").count() == odd.where("text is null").count() > 0
+    broken = pieces.decode
+    try:
+        pieces.decode = lambda *a: ["x"] * len(broken(*a))
+        assert not any(pieces._encode(iter([pa.record_batch([pa.array(["a b"])], names=["t"])]), vocab, "t", "ids", "same").__next__()["same"].to_pylist())
+    finally:
+        pieces.decode = broken
 
 
 def vectors(spark, rows):
