@@ -46,9 +46,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their piece ids, and whether these decode to the text."""
     vocab = pieces.load(PIECES)
-    rows = pieces.decode_ids(pieces.encode(docs.select(*COLUMNS), vocab), vocab, out="_decoded")
-    same = F.col("_decoded") == F.replace("text", F.lit(pieces.SPACE), F.lit(" "))
-    return rows.select(*COLUMNS, "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
+    rows = pieces.encode(docs.select(*COLUMNS), vocab, check="round_trip")
+    return rows.select(*COLUMNS, "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
 
 
 STAGES = [
