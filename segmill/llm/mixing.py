@@ -24,6 +24,10 @@ SWEEPS = 12
 RESIDUAL = 1e-6
 ROUNDS = 4
 
+# A cell that reaches this share of its tokens is at its bound, so that rounding does
+# not decide.
+FULL = 1 - 1e-9
+
 # Up to this many cells are fitted in one partition, where windows need no
 # shuffle, and are broadcast to the documents.  The rows do not depend on it.
 FEW_CELLS = 100_000
@@ -75,15 +79,6 @@ def with_targets(cells: DataFrame, exponents: Mapping[str, float | Mapping[str |
     return cells
 
 
-def rake(cells: DataFrame, dimensions: Sequence[str], sweeps: int = SWEEPS) -> DataFrame:
-    """Add ``weight``: tokens scaled to every dimension's target shares in turn."""
-    cells = cells.withColumn("weight", F.col("tokens") / _total(F.col("tokens")))
-    for _ in range(sweeps):
-        for d in dimensions:
-            cells = cells.withColumn("weight", F.col("weight") * F.col(f"t_{d}") / _total(F.col("weight"), d))
-    return cells
-
-
 def calibrate(cells: DataFrame, dimensions: Sequence[str], budget: float) -> DataFrame:
     """Add ``probability``: proportional to weight per token, at most 1, spending ``budget`` of all tokens.
 
@@ -125,7 +120,7 @@ def rake_within(cells: DataFrame, dimensions: Sequence[str], sweeps: int = SWEEP
     Cells at their bound stay there while the open ones are scaled to what is
     left; a value whose bounded cells alone have too much is scaled as a whole.
     """
-    full = F.col("weight") >= F.col("tokens")
+    full = F.col("weight") >= F.lit(FULL) * F.col("tokens")
     for d in dimensions * sweeps:
         bound = _total(F.when(full, F.col("tokens")).otherwise(0).cast("double"), d)
         free = _total(F.when(full, 0.0).otherwise(F.col("weight")), d)
@@ -186,16 +181,16 @@ def draw(key: Column) -> Column:
 
 def mix(
     df: DataFrame, exponents: Mapping[str, float | Mapping[str | None, float]], budget: float,
-    id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, bounded: bool = True,
+    id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS,
 ) -> DataFrame:
     """``df`` with ``n_tokens``, ``probability`` and ``kept``.
 
     ``exponents`` maps dimensions (columns of ``df``) to the power that makes
     their target shares, or to weights by value (see ``with_targets``); ``budget``
     is the share of all tokens to keep in expectation.  Values with too few tokens
-    for their target are kept whole (see ``reachable``).  If not ``bounded``, cells
-    are cut to probability 1 after the raking, which loses the targets.  Whether a document is kept depends on its id,
-    and on its text where the id is null; a copy of a row shares its fate.
+    for their target are kept whole (see ``reachable``).  Whether a document is kept
+    depends on its id, and on its text where the id is null; a copy of a row shares its
+    fate.
 
     A missing source, language or topic is a value of its own.  A cell without
     any token has nothing to weigh and is not kept; other empty texts follow
@@ -211,10 +206,7 @@ def mix(
     cells = scratch.put(counted.where("tokens > 0"), "cells")
     few = cells.limit(FEW_CELLS + 1).count() <= FEW_CELLS
     fitted = with_targets(cells.coalesce(1) if few else cells, exponents)
-    if bounded:
-        fitted = fit_within(fitted, names, budget, scratch, few, sweeps)
-    else:
-        fitted = calibrate(rake(fitted, names, sweeps), names, budget)
+    fitted = fit_within(fitted, names, budget, scratch, few, sweeps)
     chances = scratch.put(fitted.select(*[F.col(d).alias(f"__mix_{d}") for d in names], "probability"), "chances")
     if few:
         chances = F.broadcast(chances.coalesce(1))
@@ -230,6 +222,19 @@ def mix(
     )
 
 
+def _calibrate_sql(cells: str, names: str, budget: float) -> list[str]:
+    """CTEs that end in ``<cells>_q``, with ``probability``."""
+    return [f"""{cells}_p AS (
+  SELECT *, ({budget} * sum(tokens) OVER () - coalesce(sum(tokens) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / nullif(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS scale, row_number() OVER o AS place
+  FROM (SELECT *, weight / tokens AS ratio FROM {cells}) WINDOW o AS (ORDER BY ratio DESC, {names})
+)""", f"{cells}_s AS (SELECT scale FROM {cells}_p WHERE scale * ratio <= 1 ORDER BY place LIMIT 1)",
+        f"""{cells}_q AS MATERIALIZED (
+  SELECT *, CASE WHEN weight > 0 THEN least(1.0, coalesce((SELECT scale FROM {cells}_s) * ratio, 1.0)) ELSE 0 END
+    AS probability FROM {cells}_p
+)"""]
+
+
 def mix_sql(exponents: Mapping[str, float], budget: float, sweeps: int = SWEEPS) -> str:
     """The same in DuckDB's SQL over ``documents``."""
     names = ", ".join(exponents)
@@ -248,23 +253,38 @@ def mix_sql(exponents: Mapping[str, float], budget: float, sweeps: int = SWEEPS)
             f"c{k + 2} AS (SELECT *, pow(m_{d}, {power}) / sum(pow(m_{d}, {power}) * tokens / m_{d}) OVER () AS t_{d} FROM c{k + 1})"
         )
         k += 2
-    steps.append("w0 AS (SELECT *, tokens / sum(tokens) OVER () AS weight FROM c%d)" % k)
+    joined = f"c{k} c"
+    for d in exponents:
+        # The tokens to take of each value.
+        steps.append(f"g_{d} AS (SELECT {d}, sum(tokens) AS tokens, max(t_{d}) AS weight FROM c{k} GROUP BY {d})")
+        steps += _calibrate_sql(f"g_{d}", d, budget)
+        joined += f" JOIN (SELECT {d}, probability * tokens AS r_{d} FROM g_{d}_q) USING ({d})"
+    steps.append(f"w0 AS MATERIALIZED (SELECT *, {budget} * tokens AS weight, false AS done FROM {joined})")
     k = 0
-    for _ in range(sweeps):
-        for d in exponents:
+    for _ in range(ROUNDS):
+        for d in list(exponents) * sweeps:
+            bound = f"sum(CASE WHEN weight >= {FULL} * tokens THEN tokens ELSE 0 END) OVER (PARTITION BY {d})"
+            free = f"sum(CASE WHEN weight >= {FULL} * tokens THEN 0 ELSE weight END) OVER (PARTITION BY {d})"
+            factor = (
+                f"CASE WHEN free > 0 AND r_{d} - bound > 0 THEN (r_{d} - bound) / nullif(free, 0) "
+                f"ELSE r_{d} / nullif(bound + free, 0) END"
+            )
             steps.append(
-                f"w{k + 1} AS MATERIALIZED (SELECT * REPLACE (weight * t_{d} / sum(weight) OVER (PARTITION BY {d}) AS weight) FROM w{k})"
+                f"w{k + 1} AS MATERIALIZED (SELECT * EXCLUDE (bound, free) REPLACE "
+                f"(CASE WHEN done THEN weight ELSE weight * coalesce({factor}, 1) END AS weight) "
+                f"FROM (SELECT *, {bound} AS bound, {free} AS free FROM w{k}))"
             )
             k += 1
-    steps.append(f"""r AS (SELECT *, weight / tokens AS ratio FROM w{k}), p AS (
-  SELECT *, ({budget} * sum(tokens) OVER () - coalesce(sum(tokens) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale, row_number() OVER o AS place
-  FROM r WINDOW o AS (ORDER BY ratio DESC, {names})
-), s AS (SELECT scale FROM p WHERE scale * ratio <= 1 ORDER BY place LIMIT 1), q AS (
-  SELECT {names}, least(1.0, coalesce((SELECT scale FROM s) * ratio, 1.0)) AS probability FROM p
-)""")
-    on = " AND ".join(f"coalesce(d.{x}, chr(1)) = q.{x}" for x in exponents)
+        misses = ", ".join(f"abs(sum(least(weight, tokens)) OVER (PARTITION BY {d}) - r_{d})" for d in exponents)
+        steps.append(
+            f"w{k + 1} AS MATERIALIZED (SELECT * EXCLUDE miss REPLACE (done OR max(miss) OVER () "
+            f"<= {RESIDUAL} * {budget} * sum(tokens) OVER () AS done) FROM (SELECT *, greatest(0, {misses}) AS miss FROM w{k}))"
+        )
+        k += 1
+    steps.append(f"cells AS (SELECT * REPLACE (least(weight, tokens) AS weight) FROM w{k})")
+    steps += _calibrate_sql("cells", names, budget)
+    on = " AND ".join(f"coalesce(d.{x}, chr(1)) = cells_q.{x}" for x in exponents)
     return f"""WITH {', '.join(steps)}
 SELECT doc_id, d.source, d.lang, d.topic, n_tokens, round(coalesce(probability, 0), 6) AS probability,
   ('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT / {float(16**13)} < coalesce(probability, 0) AS kept
-FROM d LEFT JOIN q ON {on}"""
+FROM d LEFT JOIN cells_q ON {on}"""
