@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmill.llm import words as W
-from segmill.llm.training import labelled_sample, sigmoid
+from segmill.llm.base import Scratch, spelled
+from segmill.llm.training import labelled_sample, mixture_share, sigmoid, unlabelled_sample
 
 # Bounds of the training sample, in documents.
 POSITIVES = 8_000
@@ -143,30 +144,25 @@ def learn(
 
     Trusted positives are documents labelled 1.  Unlabelled are any documents, by
     smallest hash of the id, their labels unseen.  The class prior, unless given,
-    is estimated as the share of label 1 among the labelled rows (both counted
-    over all of them), kept within 0.05 and 0.95.  The driver gets the features
-    of the samples only.
+    is estimated from these two samples (``mixture_share``), kept within 0.05 and
+    0.95.  Rows sharing an id count once.  The driver gets the features of the
+    samples only.
     """
-    if prior is None:
-        seen = labels.where(where & F.col(label).isNotNull()).agg(F.avg(F.col(label).cast("double"))).first()[0]
-        prior = min(0.95, max(0.05, seen or 0.0))
-    good = labelled_sample(docs, labels.where(F.col(label) == 1), label, positives, where, id_col, text_col)
-    ids = (
-        docs.where(where).select(F.col(id_col).alias("_id")).distinct()
-        .orderBy(F.xxhash64("_id", F.lit(1)), "_id").limit(unlabelled)
-    )
-    web = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(
-        F.broadcast(ids), "_id"
-    )
+    scratch = Scratch(docs.sparkSession, "quality")
+    good = labelled_sample(docs, labels.where(F.col(label) == 1), label, positives, where, scratch, id_col, text_col)
+    web = unlabelled_sample(docs, unlabelled, where, scratch, id_col, text_col)
     samples = (
         good.select(F.lit(1).alias("good"), "text").union(web.select(F.lit(0), "text"))
         .mapInArrow(lambda it: _features_of(it, ("good",)), "good int, x array<double>")
     ).toPandas()
+    scratch.keep_only()
     x = np.array([list(v) for v in samples["x"]], dtype=np.float64).reshape(len(samples), N_FEATURES)
     order = np.lexsort((*x.T, samples["good"].to_numpy()))  # the sum's order, whatever the tasks' order
     x, is_good = x[order], samples["good"].to_numpy()[order] == 1
     if not is_good.any() or is_good.all():
         return None
+    if prior is None:
+        prior = min(0.95, max(0.05, mixture_share(x[is_good], x[~is_good])))
     return fit(x[is_good], x[~is_good], prior)
 
 
@@ -187,5 +183,6 @@ def with_score(df: DataFrame, model: Model | None, text_col: str = "text", out:
     scores are 0.5.  A column called ``out`` is replaced, others stay.
     """
     rest = df.drop(out)
+    text_col = spelled(rest, text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
     return rest.mapInArrow(lambda it: _score(it, model, text_col, out), f"{schema}, `{out}` double")

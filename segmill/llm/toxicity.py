@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -21,13 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmill.llm import words as W
+from segmill.llm.base import Scratch, spelled
 from segmill.llm.training import fit_logistic, labelled_sample
 
-# Bounds of what is learned from and of what is learned.
+# Documents that are learned from, at most.  What they hold bounds the lexicon.
 SAMPLE_ROWS = 10_000
-LEXICON_WORDS = 500
-CANDIDATES = 1_000
-EXCEPTIONS = 500
 MIN_TEXTS = 2
 MIN_WEIGHT = 1.0
 STRONG = 0.8
@@ -109,7 +109,11 @@ def _hits(automaton, folded: str) -> list[float]:
         if weights:
             found[start] = max(*weights, found.get(start, 0.0))
     if excused:
-        found = {s: w for s, w in found.items() if not any(a <= s <= b for a, b in excused)}
+        # Up to each place, the farthest end of an exception that begins there or before.
+        excused.sort()
+        starts = [a for a, _ in excused]
+        reach = list(accumulate((b for _, b in excused), max))
+        found = {s: w for s, w in found.items() if not ((k := bisect_right(starts, s)) and reach[k - 1] >= s)}
     return list(found.values())
 
 
@@ -200,13 +204,13 @@ def cover(texts: Sequence[Sequence[str]], others: Mapping[str, int], positives:
         key=lambda t: (t.endswith(STEM), -weights[t], t),
     )
     out: dict[str, float] = {}
-    for token in strong[:LEXICON_WORDS]:
+    for token in strong:
         stem = token.removesuffix(STEM)
         if not any(t.startswith(stem) and full[t] >= 0.9 * full[token] for t in out):
             out[token] = weights[token]
     explained = {i for t in out for i in left[t]}
     left = {t: rest for t, ids in left.items() if t not in out and len(rest := ids - explained) >= MIN_TEXTS}
-    while left and len(out) < LEXICON_WORDS:
+    while left:
         best, token = max((weight(len(ids), others[t], positives, negatives), t) for t, ids in left.items())
         if best < MIN_WEIGHT:
             break
@@ -218,15 +222,17 @@ def cover(texts: Sequence[Sequence[str]], others: Mapping[str, int], positives:
 
 def learn(
     docs: DataFrame, labels: DataFrame, where: Column, label: str = "toxic",
-    rows: int = SAMPLE_ROWS, exceptions: Sequence[str] = (),
+    rows: int = SAMPLE_ROWS, exceptions: Sequence[str] = (), id_col: str = "doc_id", text_col: str = "text",
 ) -> Lexicon:
     """Lexicon, exception phrases and score from at most ``rows`` labelled documents.
 
-    The driver gets at most ``CANDIDATES`` counts, the candidates of each sampled
-    toxic document, and three numbers per sampled document.  Without toxic
-    examples the lexicon is empty and every text scores low.
+    The driver gets the counts of words that speak for the label, those of each
+    sampled toxic document, and three numbers per sampled document: all bounded by
+    the sample.  Rows sharing an id count once.  Without toxic examples the lexicon
+    is empty and every text scores low.
     """
-    sample = labelled_sample(docs, labels, label, rows, where)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    sample = labelled_sample(docs, labels, label, rows, where, scratch, id_col, text_col)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     positives, negatives = sizes.get(1, 0), sizes.get(0, 0)
     if not positives:
@@ -238,12 +244,11 @@ def learn(
     candidates = (
         counted.groupBy("token").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
         .withColumn("bound", bound).where((p >= MIN_TEXTS) & (F.col("bound") >= MIN_WEIGHT))
-        .orderBy(F.desc("bound"), "token").limit(CANDIDATES)
     )
     others = {r["token"]: r["n"] for r in candidates.collect()}
     known = frozenset(others)
     toxic = sample.where("label = 1").select("id", "text").mapInArrow(
-        lambda it: _where(it, known), "id long, tokens array<string>"
+        lambda it: _where(it, known), f"id {sample.schema['id'].dataType.simpleString()}, tokens array<string>"
     )
     chosen = cover([r["tokens"] for r in toxic.orderBy("id").collect()], others, positives, negatives)
 
@@ -253,13 +258,14 @@ def learn(
             lambda it: _counts(it, lambda t: _pairs(t, around)), "token string, p long, n long"
         )
         .groupBy("token").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-        .where((n >= 5) & (p * negatives < n * positives)).orderBy(F.desc("n"), "token").limit(EXCEPTIONS)
+        .where((n >= 5) & (p * negatives < n * positives))
     )
-    excused = [r["token"] for r in innocent.collect()] + [fold(e) for e in exceptions]
+    excused = sorted(r["token"] for r in innocent.collect()) + [fold(e) for e in exceptions]
     lexicon = Lexicon(chosen, excused)
     measured = sample.select("text", "label").mapInArrow(
         lambda it: _measure(it, lexicon, ("label",)), f"label int, {_FEATURES}"
     ).toPandas().sort_values(["label", "strongest", "total", "density"])
+    scratch.keep_only()
     fitted = fit_logistic(measured[["strongest", "total", "density"]].to_numpy(), measured["label"].to_numpy())
     return Lexicon(chosen, excused, tuple(float(x) for x in fitted))
 
@@ -271,7 +277,7 @@ def score(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str
     counts as empty and scores as a text without hits.  Repeated rows stay.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        lambda it: _measure(it, lexicon, ("id",)), f"id {df.schema[id_col].dataType.simpleString()}, {_FEATURES}"
+        lambda it: _measure(it, lexicon, ("id",)), f"id {df.schema[spelled(df, id_col)].dataType.simpleString()}, {_FEATURES}"
     )
     a, b, c, d = (F.lit(float(x)) for x in lexicon.score)
     logit = a * F.col("strongest") + b * F.col("total") + c * F.col("density") + d
