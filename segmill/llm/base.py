@@ -30,6 +30,14 @@ def spelled(df: DataFrame, name: str) -> str:
     return next((c for c in df.columns if c.lower() == name.lower()), name)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from the session's settings."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

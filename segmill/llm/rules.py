@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmill.llm import words as W
+from segmill.llm.base import spelled
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -136,7 +137,9 @@ def ledger(df: DataFrame, text: str, mask: str = "failed_rules") -> DataFrame:
     One pass, no shuffle.  A null text counts as empty: it has no words and fails
     ``too_few_words`` only.  Columns named like a measurement are replaced.
     """
-    names = tuple(c for c in df.columns if c not in (text, mask, *MEASURES))
+    text = spelled(df, text)
+    replaced = {n.lower() for n in (text, mask, *MEASURES)}
+    names = tuple(c for c in df.columns if c.lower() not in replaced)
     source = df.select(*names, text)
     fields = [f"`{n}` {source.schema[n].dataType.simpleString()}" for n in names]
     measured = source.mapInArrow(lambda it: measure(it, text, names), ", ".join([*fields, _SCHEMA]))

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segmill.llm.base import unused
+
 # Slots of the table.  A prime, so that every stride visits every slot; over a
 # hundred slots per shard keep the shards' shares within about one per cent.
 SLOTS = 65_537
@@ -69,8 +71,9 @@ def assign_shards(
         F.col(key).cast("string"), F.concat(F.lit("\u0000"), F.coalesce(F.col(spill_key).cast("string"), F.lit("")))
     )
     rows = df.drop(slot, shard).withColumn(slot, slot_of(place, slots))
-    owners = _owners(spark, shards, slots).toDF("__slot", shard)
-    return rows.join(F.broadcast(owners), F.col(slot) == F.col("__slot"), "left").drop("__slot")
+    own = unused(rows, "__slot")
+    owners = _owners(spark, shards, slots).toDF(own, shard)
+    return rows.join(F.broadcast(owners), F.col(slot) == F.col(own), "left").drop(own)
 
 
 def _owners(spark: SparkSession, shards: Sequence[str], slots: int) -> DataFrame:
