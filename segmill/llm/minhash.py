@@ -32,14 +32,14 @@ from segmill.llm.components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 # A pair at similarity 0.8 agrees on 128 * 0.8 registers, give or take five, and
-# then shares none of 40 bands of 7 with a probability of a few in 10,000.  Bands
+# then shares none of 60 bands of 7 with a probability of some 6 in 100,000.  Bands
 # this long keep texts apart that share no more than a common passage.
 REGISTERS = 128
-BANDS = 40
+BANDS = 60
 BAND_REGISTERS = 7
 
 # A bucket whose members fall into several components is looked at further: in
-# rounds with more and more hubs, and pair by pair once the pairs are few.
+# rounds with more and more hubs, and at last by the members' rarest shingles.
 HUBS = 4
 # Shingles are counted by this many classes to bound what two texts share.
 CLASSES = 64
@@ -215,7 +215,8 @@ def near_duplicates(
     compared with one hub, its smallest member, by which a class usually becomes
     one component.  Only where a bucket still holds several components are its
     members from different components compared: with hubs of the largest one in a
-    few rounds, then pair by pair.  Pairs within a component cannot change a class
+    few rounds, then with those that share one of their rarest shingles, as similar
+    texts must (see ``_prefixes``).  Pairs within a component cannot change a class
     and are never made, and neither are pairs that cannot be similar because of
     the shingles that only one of them has.  No bucket is capped.
 
@@ -301,25 +302,15 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
         ).agg(F.sum("p")).first()[0]
         if not left:
             break
-        last = turn == HUB_ROUNDS or left <= PAIRS_PER_TEXT * n_texts
-        some = rest if last else _more_hubs(rest, HUBS**turn, turn)
-        other = some.select(
-            "bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "common", "classes")]
-        )
-
-        def similar(shares):
-            return shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
-
-        least = F.zip_with("classes", "other_classes", lambda a, b: F.least(a, b))
-        apart = rest.join(other, "bucket").where("component <> other_component").where(
-            # Two texts share no more than the fewer shingles of either, in each class.
-            similar(F.least("common", "other_common"))
-            & similar(F.aggregate(least, F.lit(0), lambda total, x: total + x))
-        )
-        found.compare(apart.select(*_ordered("node", "other_node")))
-        labels = components(found.links, scratch, f"round-{turn}")
-        if last:
+        if turn == HUB_ROUNDS or left <= PAIRS_PER_TEXT * n_texts:
+            found.compare(_rare_pairs(texts, rest, threshold, scratch))
+            labels = components(found.links, scratch, f"round-{turn}")
             break
+        other = _more_hubs(rest, HUBS**turn, turn)
+        other = other.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", *SIDE)])
+        apart = rest.join(other, "bucket").where("component <> other_component")
+        found.compare(apart.where(_may_be_similar(threshold)).select(*_ordered("node", "other_node")))
+        labels = components(found.links, scratch, f"round-{turn}")
 
     classes = (
         nodes.join(labels, "node").groupBy("component").agg(F.min("first").alias("class"))
@@ -329,6 +320,56 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
     return signed, named.select("a", "b", F.col("class.id").alias("class_id"), F.col("class.row").alias("class_row"))
 
 
+# What is known of each member of an open bucket.
+SIDE = ("component", "size", "common", "classes")
+
+
+def _may_be_similar(threshold: float):
+    """Whether bounds leave a pair a chance: two texts share no more than the fewer shingles of either, in each class."""
+
+    def similar(shares):
+        return shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
+
+    least = F.zip_with("classes", "other_classes", lambda a, b: F.least(a, b))
+    return similar(F.least("common", "other_common")) & similar(F.aggregate(least, F.lit(0), lambda total, x: total + x))
+
+
+def _rare_pairs(texts: DataFrame, rest: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """``(x, y)``: pairs of different components that share a shingle of both prefixes and pass the bounds."""
+    known = scratch.put(rest.select("node", *SIDE).distinct(), "known")
+    prefixes = scratch.put(_prefixes(texts, known.select("node", "size"), threshold), "prefixes")
+    # Narrow rows first: sizes and components end most pairs before the class counts are looked up.
+    own = prefixes.join(known.select("node", "component", "size", "common"), "node")
+    other = own.toDF("other_node", "shingle", *[f"other_{c}" for c in ("component", "size", "common")])
+    shares = F.least("common", "other_common") * 1000
+    pairs = own.join(other, "shingle").where("node < other_node and component <> other_component").where(
+        shares >= (F.col("size") + F.col("other_size") - F.least("common", "other_common")) * round(threshold * 1000)
+    ).select("node", "other_node").distinct()
+    both = pairs.join(known.select("node", *SIDE), "node").join(
+        known.select("node", *SIDE).toDF("other_node", *[f"other_{c}" for c in SIDE]), "other_node"
+    )
+    return both.where(_may_be_similar(threshold)).select(F.col("node").alias("x"), F.col("other_node").alias("y"))
+
+
+def _prefixes(texts: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """``(node, shingle)``: the rarest shingles of each text, as many as decide.
+
+    In one order of all shingles, by the number of texts that have them, two bags
+    with similarity of at least ``t`` share an element among the first
+    ``size - ceil(t * size) + 1`` of each; the equal shingles of a bag are neighbours.
+    Shingles of one text alone take their places and are then left out.
+    """
+    per_mille = round(threshold * 1000)
+    shingles = texts.join(sizes.select("node"), "node", "left_semi").mapInArrow(_shingles, "node long, shingle long, c int")
+    known = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranked = shingles.join(known, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1))).join(sizes, "node")
+    before = F.sum("c").over(
+        Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ) - F.col("c")
+    places = F.col("size") - F.ceil(F.col("size") * per_mille / 1000) + 1
+    return ranked.withColumn("before", before).where((F.col("before") < places) & (F.col("n") > 1)).select("node", "shingle")
+
+
 def _open_buckets(members: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The members, with their component, of the buckets that hold several components."""
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
