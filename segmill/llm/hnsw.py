@@ -29,7 +29,8 @@ LINKS = 16          # per node on the upper layers; twice that on the lowest
 BUILD_WIDTH = 64    # candidates kept while inserting
 SEARCH_WIDTH = 200  # candidates kept while searching
 GROUP = 256         # points or queries worked on together
-MIN_SHARD, MAX_SHARD = 4_096, 65_536
+SHARD_ROWS = 8_192  # vectors of a shard, and
+SHARD_BYTES = 1 << 26  # their bytes, at most
 QUERY_BLOCK = 16_384
 
 
@@ -261,32 +262,33 @@ def nearest(
     go to the smaller id.  With fewer than ``k`` candidates all found are listed.
 
     Rows with a null id, and vectors that are null, empty, zero or hold null or
-    non-finite components, take no part; neither do vectors whose length is not
-    the commonest (of equally common ones the largest).  Rows sharing an id count
-    once, with the smallest vector.  Copies of a vector are one node of a graph
+    non-finite components, take no part.  Shorter vectors are extended by zeros to
+    the longest one's length.  Rows sharing an id count once, with the smallest
+    vector; an empty table gives no rows.  Copies of a vector are one node of a graph
     with several ids, so a vector repeated in a third of all rows costs no links.
 
-    Shards hold between ``MIN_SHARD`` and ``MAX_SHARD`` vectors, as many shards
-    as there are cores to build them, so a task's memory is bounded.  Graphs are
-    written to the shared folder before they are searched.
+    A shard holds some ``SHARD_ROWS`` vectors, fewer where these would exceed
+    ``SHARD_BYTES``, so a task's memory is bounded and the result does not depend on
+    the cluster.  Graphs are written to the shared folder before they are searched.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "hnsw")
     vectors = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     vectors = vectors.where(F.col("id").isNotNull() & usable(F.col("vector")))
-    lengths = vectors.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    common = lengths.orderBy(F.desc("n"), F.desc("d")).first()
-    if common is None:
+    n, d = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d, n = common["d"], common["n"]
-    shards = max(-(-n // MAX_SHARD), min(spark.sparkContext.defaultParallelism, -(-n // MIN_SHARD)))
+    shards = -(-n // max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * d))))
+    full = F.concat("vector", F.array_repeat(F.lit(0.0), F.lit(d) - F.size("vector")))
     vectors = scratch.put(
-        vectors.where(F.size("vector") == d).groupBy("id").agg(F.min("vector").alias("vector"))
+        vectors.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("vector", full)
         .withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")),
         "vectors",
     )
+    # A count of partitions that is given is not lowered at run time, so shards do not share a task but by chance.
     graphs = scratch.put(
-        vectors.groupBy("shard").applyInArrow(lambda rows: _build_shard(rows, d), _GRAPH), "graphs"
+        vectors.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(lambda rows: _build_shard(rows, d), _GRAPH),
+        "graphs",
     )
     queries = vectors.withColumnRenamed("id", id_col).where(is_query).withColumnRenamed(id_col, "id")
     blocks = -(-max(1, queries.count()) // QUERY_BLOCK)

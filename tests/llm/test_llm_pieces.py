@@ -99,8 +99,8 @@ def vectors(spark, rows):
 
 
 def exact(rows, k):
-    usable = {i: np.array(v, dtype=np.float64) for i, v, _ in rows
-              if i is not None and v and None not in v and np.isfinite(v).all() and any(v) and len(v) == 8}
+    usable = {i: np.array(v + [0.0] * (8 - len(v)), dtype=np.float64) for i, v, _ in rows
+              if i is not None and v and None not in v and np.isfinite(v).all() and any(v)}
     out = {}
     for q, x in usable.items():
         if q % 20 == 0:
@@ -138,6 +138,19 @@ def test_few_or_no_vectors(spark):
     assert hnsw.nearest(vectors(spark, rows[1:]), F.col("vec_id") % 20 == 0, 20).count() == 0
 
 
+def test_recall_over_several_shards(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist(), "x") for i in range(2000)]
+    want, shares = exact(rows, 20), []
+    for limit in ("SHARD_ROWS", "SHARD_BYTES"):
+        monkeypatch.setattr(hnsw, limit, 350 if limit == "SHARD_ROWS" else 350 * 64)
+        got = hnsw.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, 20).collect()
+        monkeypatch.undo()
+        shares.append(sum(r.vec_id in want[r.query_id] for r in got) / sum(map(len, want.values())))
+    # The bound by bytes makes the same shards as the one by rows.
+    assert shares[0] == shares[1] > 0.97
+
+
 def test_recall_in_one_large_graph():
     rng = np.random.default_rng(5)
     points = rng.normal(size=(3000, 24)) * rng.uniform(0.5, 2.0, size=(3000, 1))  # of unequal length
