@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segmill.llm.base import Scratch
+from segmill.llm.base import Scratch, unused
 
 SWEEPS = 12
 
@@ -48,7 +48,12 @@ def topic_of(text: Column) -> Column:
 
 
 def _name(c: str) -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit(NONE))
+    return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NONE))
+
+
+def _own(exponents: Mapping) -> dict[str, str]:
+    """Names for the dimensions inside cells, which have columns of other names as well."""
+    return {d: f"dim_{k}" for k, d in enumerate(exponents)}
 
 
 def _total(x: Column, *by: str) -> Column:
@@ -158,15 +163,16 @@ def margins(mixed: DataFrame, exponents: Mapping[str, float | Mapping[str | None
     ``(dimension, value, tokens, target, expected, drawn)``: all its tokens, its
     target share, and its shares of the expected and of the drawn tokens.
     """
-    cells = mixed.groupBy(*[_name(d).alias(d) for d in exponents]).agg(
+    own = _own(exponents)
+    cells = mixed.groupBy(*[_name(d).alias(own[d]) for d in exponents]).agg(
         F.sum("n_tokens").alias("tokens"), F.sum(F.col("n_tokens") * F.col("probability")).alias("expected"),
         F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("drawn"),
     ).where("tokens > 0")
-    cells = with_targets(cells, exponents)
+    cells = with_targets(cells, {own[d]: x for d, x in exponents.items()})
     for x in ("expected", "drawn"):
         cells = cells.withColumn(x, F.col(x) / F.nullif(_total(F.col(x)).cast("double"), F.lit(0.0)))
     value = F.explode(F.array(*[
-        F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"), F.col(f"t_{d}").alias("target")) for d in exponents
+        F.struct(F.lit(d).alias("dimension"), F.col(c).alias("value"), F.col(f"t_{c}").alias("target")) for d, c in own.items()
     ]))
     return cells.select(value.alias("v"), "tokens", "expected", "drawn").groupBy("v.dimension", "v.value").agg(
         F.sum("tokens").alias("tokens"), F.max("v.target").alias("target"),
@@ -194,31 +200,37 @@ def mix(
 
     A missing source, language or topic is a value of its own.  A cell without
     any token has nothing to weigh and is not kept; other empty texts follow
-    their cell.  Columns called like the new ones are replaced, others stay.
+    their cell.  Columns called like the new ones, in any case, are replaced, others
+    stay; dimensions may have any name.
     The cells are fitted when called; the documents are then looked up lazily.
     """
-    names = list(exponents)
-    rows = df.withColumn(
-        "n_tokens", F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    )
+    own = _own(exponents)
+    names = list(own.values())
+    text = F.col(f"`{text_col}`")
+    tokens = F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
     scratch = Scratch(df.sparkSession, "mixing")
-    counted = rows.groupBy(*[_name(d).alias(d) for d in names]).agg(F.sum("n_tokens").alias("tokens"))
+    counted = df.groupBy(*[_name(d).alias(c) for d, c in own.items()]).agg(F.sum(tokens).alias("tokens"))
     cells = scratch.put(counted.where("tokens > 0"), "cells")
     few = cells.limit(FEW_CELLS + 1).count() <= FEW_CELLS
-    fitted = with_targets(cells.coalesce(1) if few else cells, exponents)
+    fitted = with_targets(cells.coalesce(1) if few else cells, {own[d]: x for d, x in exponents.items()})
     fitted = fit_within(fitted, names, budget, scratch, few, sweeps)
-    chances = scratch.put(fitted.select(*[F.col(d).alias(f"__mix_{d}") for d in names], "probability"), "chances")
+    looked = {c: unused(df, f"__mix_{c}") for c in (*names, "chance", "draw", "tokens")}
+    chances = fitted.select(*[F.col(c).alias(looked[c]) for c in names], F.col("probability").alias(looked["chance"]))
+    chances = scratch.put(chances, "chances")
     if few:
         chances = F.broadcast(chances.coalesce(1))
     same = None
-    for d in names:
-        equal = _name(d) == F.col(f"__mix_{d}")
+    for d, c in own.items():
+        equal = _name(d) == F.col(looked[c])
         same = equal if same is None else same & equal
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit(NONE), F.coalesce(F.col(text_col), F.lit(""))))
-    chance = F.coalesce("probability", F.lit(0.0))
-    return (
-        rows.drop("probability", "kept").join(chances, same, "left").drop(*[f"__mix_{d}" for d in names])
-        .withColumn("probability", chance).withColumn("kept", draw(key) < F.col("probability"))
+    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.concat(F.lit(NONE), F.coalesce(text, F.lit(""))))
+    # Everything is read from the columns given before any of them is replaced.
+    rows = df.withColumns({looked["tokens"]: tokens, looked["draw"]: draw(key)}).join(chances, same, "left")
+    new = {"n_tokens", "probability", "kept"}
+    chance = F.coalesce(looked["chance"], F.lit(0.0))
+    return rows.select(
+        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in new], F.col(looked["tokens"]).alias("n_tokens"),
+        chance.alias("probability"), (F.col(looked["draw"]) < chance).alias("kept"),
     )
 
 
