@@ -20,6 +20,7 @@ documents is one row per task.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -183,20 +184,20 @@ def remove_repeats(
     )
 
 
-def repeat_lengths(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   levels: int = 12) -> DataFrame:
+def repeat_lengths(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``(length, n_windows)``: how many different windows repeat at each doubled length.
 
-    Starts from ``window`` and doubles until no window of a level repeats (or
-    ``levels`` are done).  Each level reads only the texts that had a repeated
-    window at the one before.
+    Starts from ``window`` and doubles until no window of a level repeats, which the
+    longest text bounds.  Each level reads only the texts that had a repeated window
+    at the one before.  Null, empty and short texts have no windows; rows alike in id
+    and text count as often as they are there; an empty table gives no rows.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "repeat-lengths")
     docs = df.select(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     found = []
     length = window
-    for level in range(levels):
+    for level in itertools.count():
         n = length
         wins = scratch.put(docs.mapInArrow(lambda it, n=n: _all_windows(it, n), "h long, row long"), f"wins-{level}")
         again = wins.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
