@@ -28,7 +28,8 @@ from segmill.llm.base import spelled
 
 SPACE = "▁"  # stands for a space in pieces
 WORD = 8      # bytes compared at once
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
+LEARN_BYTES = 1 << 17   # of new chunks under one suffix array, which takes some hundred bytes for each
 KNOWN_CHUNKS = 400_000  # chunks a task remembers
 LONG_CHUNK = 2_048      # longer chunks are merged one by one
 
@@ -234,7 +235,10 @@ class Encoder:
         ends = np.append(starts[1:], len(data))[: len(starts)]
         hashes = W.span_hashes(data, starts, ends)
         distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        new = ~np.isin(distinct, self.hashes, assume_unique=True)
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self.hashes):
+            near = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+            new = self.hashes[near] != distinct
         if new.any():
             if len(self.hashes) + new.sum() > KNOWN_CHUNKS:
                 new[:] = True
@@ -250,14 +254,22 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         lengths = ends - starts
-        offsets = np.concatenate([[0], np.cumsum(lengths)])
-        text = data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)]
-        ids, sizes = self._segment(text, offsets)
+        behind = np.cumsum(lengths)
+        found, at = [], 0
+        while at < len(starts):
+            done = behind[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(behind, done + LEARN_BYTES, "right")))
+            some = lengths[at:stop]
+            offsets = np.concatenate([[0], np.cumsum(some)])
+            text = data[np.arange(offsets[-1]) + np.repeat(starts[at:stop] - offsets[:-1], some)]
+            found.append(self._segment(text, offsets))
+            at = stop
+        ids, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
         all_hashes = np.concatenate([self.hashes, hashes])
         all_sizes = np.concatenate([self.sizes, sizes])
         all_starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.flat = np.concatenate([self.flat, ids])
-        order = np.argsort(all_hashes)
+        order = np.argsort(all_hashes, kind="stable")  # both parts are sorted
         self.hashes, self.sizes, self.starts = all_hashes[order], all_sizes[order], all_starts[order]
 
     def _edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
