@@ -2,14 +2,11 @@
 
 import random
 from collections import Counter
-from itertools import combinations
 
 import brute
 import pytest
-from pyspark.sql import functions as F
 
 from segmill.llm import minhash
-from segmill.llm.base import Scratch
 
 
 def template_texts(n, slots, values, length=140, seed=8):
@@ -32,30 +29,3 @@ def test_texts_of_one_template_equal_brute_force(spark, slots, values):
     want = Counter((rows[i][0], c) for i, c in brute.classes(rows).items())
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert Counter((r.doc_id, r.class_id) for r in got.collect()) == want
-
-
-def test_similar_texts_share_one_of_their_rarest_shingles(spark):
-    rows = template_texts(60, 5, 3) + [(100, "one two"), (101, "one two"), (102, "a b c d e " * 30), (103, "a b c d e " * 27)]
-    bags = {i: brute.bag(t) for i, t in rows}
-    texts = spark.createDataFrame(rows, "node long, text string").repartition(3)
-    sizes = spark.createDataFrame([(i, sum(b.values())) for i, b in bags.items()], "node long, size long")
-    found = {}
-    for r in minhash._prefixes(texts, sizes, 0.8).collect():
-        found.setdefault(r.node, set()).add(r.shingle)
-    similar = [(x, y) for x, y in combinations(bags, 2) if brute.jaccard(bags[x], bags[y]) >= 0.8]
-    assert len(similar) > 20 and (100, 101) in similar and (102, 103) in similar
-    assert all(found.get(x, set()) & found.get(y, set()) for x, y in similar)
-    assert minhash._prefixes(texts.limit(0), sizes.limit(0), 0.8).isEmpty()
-
-
-def test_rare_pairs_grow_with_the_texts(spark):
-    """Texts of one template that differ in words of their own give no pairs, however many there are."""
-    made = []
-    for n in (50, 200):
-        texts = spark.createDataFrame(template_texts(n, 12, 10**6), "node long, text string")
-        rest = texts.select(
-            "node", F.col("node").alias("component"), (F.size(F.split("text", " ")) - 4).alias("size"),
-            F.lit(136).alias("common"), F.array_repeat(F.lit(136), minhash.CLASSES).alias("classes"),
-        )
-        made.append(minhash._rare_pairs(texts, rest, 0.8, Scratch(spark, "test")).count())
-    assert made == [0, 0]
