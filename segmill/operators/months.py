@@ -29,12 +29,15 @@ def month_ends(
 
     ``calendar`` (first and last day, ISO) bounds open-ended ranges by the
     months that occur on the other side of the join (see ``value_range``).
+
+    The planner reckons with as many rows as before.  They are hinted to be joined
+    by a shuffle, or it might broadcast many times what it takes for small.
     """
     lo, hi = F.to_date(F.col(start)), F.to_date(F.col(end))
     if calendar:
         first, last = (F.lit(day).cast("date") for day in calendar)
         lo, hi = _clip(lo, F.greatest, first), _clip(hi, F.least, last)
-    return df.withColumn(out, F.explode(month_end_array(lo, hi)))
+    return df.withColumn(out, F.explode(month_end_array(lo, hi))).hint("merge")
 
 
 def period_lookup(

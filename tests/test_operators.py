@@ -278,3 +278,12 @@ def test_period_lookup_equals_a_row_per_month(spark, width):
     want = left_lookup(rows, right, [("k", "p"), ("m", "month_end")], {"n": "n"})
     assert bag(got) == bag(want)
     assert period_lookup(rows.where("false"), periods, [("k", "p")], "m", "s", "e", {"n": "n"}, calendar).count() == 0
+
+
+def test_month_rows_are_not_broadcast_by_the_size_before_them(spark):
+    """Few periods of many months: the planner takes their rows for few."""
+    df = spark.createDataFrame([(1, date(1990, 1, 1), date(2020, 12, 31))], "k int, s date, e date")
+    rows = spark.createDataFrame([(1, date(2000, 1, 31)), (2, None)], "k int, m date")
+    out = left_lookup(rows, month_ends(df, "s", "e"), [("k", "k"), ("m", "month_end")], {"s": "s"})
+    assert "BroadcastHashJoin" not in plan(out)
+    assert bag(out) == {(1, date(2000, 1, 31), date(1990, 1, 1)): 1, (2, None, None): 1}
