@@ -162,3 +162,19 @@ def test_packed_texts(spark, tmp_path):
         write_packed(df, path, "k", "t", CFG)
     write_packed(df.where("false"), str(tmp_path / "none"), "k", "t", CFG)
     assert spark.read.parquet(str(tmp_path / "none/index")).count() == 0
+
+
+def test_a_staged_step_leaves_no_shuffle_files(spark):
+    import time
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting)
+    staged = stage(spark.range(1000).repartition(3, "id"), JobConfig(), "dealt")
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and staged.count() == 1000 and spark.conf.get(setting) == was
