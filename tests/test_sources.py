@@ -12,6 +12,7 @@ from segmill.sources.scripts import (
     read_scripts,
     render_statements,
     split_lines,
+    write_files,
     write_packed,
     write_statements,
 )
@@ -118,6 +119,33 @@ def test_render_and_write(spark, scripts, tmp_path):
     assert written == ["x(a, b);", "ywhere(c);;"]
 
 
+def test_scripts_are_written_by_many_tasks_one_file_each(spark, tmp_path):
+    """Rows that come in one partition, as many short texts do."""
+    arrays = spark.range(60).selectExpr("id AS k", "array(concat('s', id), 't') AS a").coalesce(1)
+    out = tmp_path / "out"
+    write_statements(arrays, str(out), "k", "a", ";\n", terminal=True)
+    files = [list(d.glob("part-*")) for d in out.glob("k=*")]
+    assert len(files) == 60 and all(len(f) == 1 for f in files)
+    assert len({f.name[:10] for [f] in files}) == 4
+    assert sorted(r.text for r in read_lines(spark, f"{out}/k=7").collect() if r.text) == ["s7;", "t;"]
+
+
+def test_many_folders_are_listed_by_a_few_tasks(spark, tmp_path):
+    write_files(spark.range(50).selectExpr("id AS k", "'x' AS t"), str(tmp_path / "out"), "k")
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    tracker, group = spark.sparkContext.statusTracker(), "listing-of-folders"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        lines = read_lines(spark, f"{tmp_path}/out/*")
+        stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tasks) == 1 and tasks[0] <= 16 and lines.count() == 50
+    assert spark.conf.get(setting) == before
+
+
 @pytest.mark.parametrize("split", ["7", "64", "1m"])
 def test_lines_of_files_cut_into_many_splits(spark, tmp_path, split):
     """Line ends of every kind, lines that cross splits, empty lines; numbers as if read whole."""
