@@ -46,6 +46,9 @@ CLASSES = 64
 NO_ID = -(1 << 63)
 HUB_ROUNDS = 1
 PAIRS_PER_TEXT = 4
+# Members of a bucket are compared by blocks of about so many, and so many pairs at once.
+BLOCK = 1_024
+PAIRS = 1 << 16
 
 
 def band_registers() -> np.ndarray:
@@ -302,21 +305,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float) -> tup
         if not left:
             break
         last = turn == HUB_ROUNDS or left <= PAIRS_PER_TEXT * n_texts
-        some = rest if last else _more_hubs(rest, HUBS**turn, turn)
-        other = some.select(
-            "bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "common", "classes")]
-        )
-
-        def similar(shares):
-            return shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
-
-        least = F.zip_with("classes", "other_classes", lambda a, b: F.least(a, b))
-        apart = rest.join(other, "bucket").where("component <> other_component").where(
-            # Two texts share no more than the fewer shingles of either, in each class.
-            similar(F.least("common", "other_common"))
-            & similar(F.aggregate(least, F.lit(0), lambda total, x: total + x))
-        )
-        found.compare(apart.select(*_ordered("node", "other_node")))
+        found.compare(_apart(rest, threshold) if last else _hub_pairs(rest, HUBS**turn, turn, threshold))
         labels = components(found.links, scratch, f"round-{turn}")
         if last:
             break
@@ -397,3 +386,94 @@ def _more_hubs(rest: DataFrame, hubs: int, turn: int) -> DataFrame:
         .agg(F.min(F.struct(order.alias("o"), "node", "component", "size", "common", "classes")).alias("hub"))
         .select("bucket", "hub.node", "hub.component", "hub.size", "hub.common", "hub.classes")
     )
+
+
+def _hub_pairs(rest: DataFrame, hubs: int, turn: int, threshold: float) -> DataFrame:
+    """``(x, y)``: members and hubs of a bucket, in different components, that may be similar."""
+    other = _more_hubs(rest, hubs, turn).select(
+        "bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "common", "classes")]
+    )
+
+    def similar(shares):
+        return shares * 1000 >= (F.col("size") + F.col("other_size") - shares) * round(threshold * 1000)
+
+    least = F.zip_with("classes", "other_classes", lambda a, b: F.least(a, b))
+    pairs = rest.join(other, "bucket").where("component <> other_component").where(
+        # Two texts share no more than the fewer shingles of either, in each class.
+        similar(F.least("common", "other_common"))
+        & similar(F.aggregate(least, F.lit(0), lambda total, x: total + x))
+    )
+    return pairs.select(*_ordered("node", "other_node"))
+
+
+def _apart(rest: DataFrame, threshold: float) -> DataFrame:
+    """``(x, y)``: all members of a bucket, in different components, that may be similar.
+
+    A bucket's members are dealt to blocks, and each pair of blocks meets in one
+    task, which returns only the pairs that pass.
+    """
+    blocks = rest.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = (
+        rest.join(blocks, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", others)
+        .select(
+            "bucket", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"),
+            "block", "node", "component", F.col("size").cast("long").alias("size"), "common", "classes",
+        )
+        .repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
+    )
+    return met.mapInArrow(lambda it: _similar_pairs(it, threshold), "x long, y long")
+
+
+def _similar_pairs(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """The pairs of each group of rows, equal in bucket and blocks, which may be spread over batches."""
+    per_mille = round(threshold * 1000)
+    rest: pa.Table | None = None
+
+    def whole(rows: pa.Table, to: np.ndarray) -> Iterator[pa.RecordBatch]:
+        columns = {c: rows[c].to_numpy() for c in ("a", "b", "block", "node", "component", "size", "common")}
+        classes = rows["classes"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, CLASSES)
+        for first, end in zip(to[:-1].tolist(), to[1:].tolist(), strict=True):
+            group = {c: x[first:end] for c, x in columns.items()}
+            for x, y in _block_pairs(group, classes[first:end], per_mille):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
+
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        keys = [rows[c].to_numpy() for c in ("bucket", "a", "b")]
+        new = np.zeros(max(0, rows.num_rows - 1), dtype=bool)
+        for key in keys:
+            new |= key[1:] != key[:-1]
+        starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        yield from whole(rows.slice(0, int(starts[-1])), starts)
+        rest = rows.slice(int(starts[-1]))
+    if rest is not None and rest.num_rows:
+        yield from whole(rest, np.array([0, rest.num_rows]))
+
+
+def _block_pairs(
+    group: dict[str, np.ndarray], classes: np.ndarray, per_mille: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The nodes of the pairs between a group's two blocks, or within its one."""
+    node, component = group["node"], group["component"]
+    size, common = group["size"], group["common"].astype(np.int64)
+    one = group["a"][0] == group["b"][0]
+    left = np.arange(len(node)) if one else np.flatnonzero(group["block"] == group["a"][0])
+    right = left if one else np.flatnonzero(group["block"] == group["b"][0])
+    step = max(1, PAIRS // max(1, len(right)))
+    for i in range(0, len(left), step):
+        x = left[i: i + step]
+        sizes = size[x, None] + size[right]
+        # Two texts share no more than the fewer shingles of either, in each class.
+        least = np.minimum(common[x, None], common[right])
+        may = (component[x, None] != component[right]) & (least * 1000 >= (sizes - least) * per_mille)
+        if one:
+            may &= node[x, None] < node[right]
+        row, col = np.nonzero(may)
+        shares = np.minimum(classes[x[row]], classes[right[col]]).sum(axis=1, dtype=np.int64)
+        good = shares * 1000 >= (sizes[row, col] - shares) * per_mille
+        if good.any():
+            yield node[x[row[good]]], node[right[col[good]]]
