@@ -96,6 +96,17 @@ def test_searches_get_wider_until_the_audit_passes(monkeypatch):
     assert (neardup._search(shard, shard, 0.9) == truth).all()
 
 
+def test_a_failed_audit_costs_no_wider_search(monkeypatch):
+    rng = np.random.default_rng(6)
+    unit = neardup.unit_vectors(rng.standard_normal((1, 8)) + 0.05 * rng.standard_normal((300, 8)))
+    shard = neardup.Shard(np.arange(300), np.ones(300, int), unit, neardup.build(unit))
+    shard.graph.layers[:] = [np.full_like(l, -1) for l in shard.graph.layers]
+    widths, around = [], neardup._around
+    monkeypatch.setattr(neardup, "_around", lambda *a: widths.append(a[3]) or around(*a))
+    assert (neardup._search(shard, shard, 0.9) == (unit @ unit.T >= 0.9)).all()
+    assert set(widths) == {neardup.WIDTH}
+
+
 def test_a_forest_connects_what_links_connect():
     linked = np.random.default_rng(2).random((40, 30)) < 0.03
     row, col = neardup._forest(linked)
