@@ -3,6 +3,7 @@
 import hashlib
 import random
 import string
+import time
 import zlib
 from collections import Counter
 
@@ -114,6 +115,19 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs((names[0] == names[1]).mean() - true) < 4 * np.sqrt(true * (1 - true) / m)
 
 
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before = files()
+    rows = Scratch(spark, "files").put(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "rows")
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and rows.count() == 7
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40) if i % 10 != 9] + [(100, 3), (100, 100 + 1)]
     df = spark.createDataFrame(edges, "x long, y long")
