@@ -130,6 +130,17 @@ def test_scripts_are_written_by_many_tasks_one_file_each(spark, tmp_path):
     assert sorted(r.text for r in read_lines(spark, f"{out}/k=7").collect() if r.text) == ["s7;", "t;"]
 
 
+def test_scripts_come_without_files_of_checksums(spark, tmp_path):
+    """Each would cost a process on a local disk."""
+    out = tmp_path / "out"
+    write_files(spark.range(20).selectExpr("id AS k", "concat('x', id) AS t"), str(out), "k")
+    assert len([f for f in out.rglob("*") if f.is_file() and f.parent != out]) == 20
+    assert sorted(r.text for r in read_lines(spark, f"{out}/*").collect()) == sorted(f"x{k}" for k in range(20))
+    # Only files of one script each are written so.
+    spark.range(3).write.parquet(str(tmp_path / "rows"))
+    assert list((tmp_path / "rows").glob(".*.crc"))
+
+
 def test_many_folders_are_listed_by_a_few_tasks(spark, tmp_path):
     write_files(spark.range(50).selectExpr("id AS k", "'x' AS t"), str(tmp_path / "out"), "k")
     setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
